@@ -1,7 +1,10 @@
 """Registry of named queries: each takes (spark, sf_dir) and returns a DataFrame.
 
 Every query reads whole driver tables (through the ``fx_*`` views of
-``sources.testdata``) and runs the library's operators on them.
+``sources.testdata``) and runs the library's operators on them.  The merge
+queries split a table into two overlapping loads — an earlier one (the target,
+as a previous run left it) and a later one (the source) — and merge them; the
+two loads together cover every row.
 """
 
 from __future__ import annotations
@@ -10,8 +13,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from .. import schemas as SC
+from ..operators import columns as CO
+from ..operators import gameweeks as GW
+from ..operators import merge as MG
+from ..operators import players as PL
 from ..operators import standings as ST
+from ..operators.joins import join_full_outer
 from ..sources import snapshot as SN
 from ..sources import testdata as TD
 from . import oracle as OR
@@ -19,6 +29,8 @@ from . import oracle as OR
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+# ----------------------------------------------------------------- inputs ---
+
 def _fixtures(spark, d) -> DataFrame:
     return SN.scan_fixtures(TD.fx_fixtures(spark, d))
 
@@ -27,14 +39,42 @@ def _teams(spark, d) -> DataFrame:
     return SN.scan_teams(TD.fx_teams(spark, d))
 
 
-def league_table(spark: SparkSession, d: str) -> DataFrame:
-    return ST.league_table(_fixtures(spark, d), _teams(spark, d))
+def _elements(spark, d) -> DataFrame:
+    return SN.scan_elements(TD.fx_elements(spark, d))
+
+
+def _positions(spark, d) -> DataFrame:
+    return SN.scan_positions(TD.fx_element_types(spark, d))
+
+
+def _gameweeks(spark, d) -> DataFrame:
+    return SN.scan_gameweeks(TD.fx_gw(spark, d))
+
+
+def _history(spark, d) -> DataFrame:
+    # ``line`` is kept next to the scan shape: with kickoff time and fixture it
+    # orders the rows of one key for the "latest wins" merge.
+    return SN.scan_history(TD.fx_history(spark, d), keep=["line"])
 
 
 def _scored(spark, d) -> DataFrame:
     return ST.score_fixtures(ST.fixture_frame(_fixtures(spark, d)))
 
 
+def _before(col: str, when: str):
+    return F.col(col) < F.lit(when).cast("timestamp_ntz")
+
+
+# -------------------------------------------------------------- standings ---
+
+def league_table(spark, d):
+    return ST.league_table(_fixtures(spark, d), _teams(spark, d))
+
+
+def fixture_info(spark, d):
+    return ST.fixture_info(_fixtures(spark, d))
+
+
 def result_counts(spark, d):
     return ST.result_counts(_scored(spark, d))
 
@@ -47,11 +87,243 @@ def team_points(spark, d):
     return ST.team_points(_scored(spark, d))
 
 
+MATCH_KEYS = ["gameweek_id", "home_team_id", "away_team_id", "home_team_score", "away_team_score"]
+
+
+def match_points(spark, d):
+    return _scored(spark, d).select(*MATCH_KEYS, "home_points", "away_points")
+
+
+def match_result(spark, d):
+    return _scored(spark, d).select(*MATCH_KEYS, "home_result", "away_result")
+
+
+def filter_result(spark, d):
+    return _scored(spark, d).filter(F.col("home_result") == "W") \
+        .select(*MATCH_KEYS, "home_result")
+
+
+def result_pivot(spark, d):
+    return ST.result_pivot(_scored(spark, d))
+
+
+def join_full_outer_q(spark, d):
+    """Six separately counted tables folded by full outer joins (missing → 0)."""
+    sides = ST.team_sides(_scored(spark, d))
+    parts = []
+    for home, where in ((True, "home"), (False, "away")):
+        for letter, name in (("W", "wins"), ("L", "loss"), ("D", "draw")):
+            parts.append(sides.filter((F.col("is_home") == home) & (F.col("result") == letter))
+                         .groupBy("team_id").agg(F.count(F.lit(1)).alias(f"{where}_{name}")))
+    return join_full_outer(parts, "team_id", 0)
+
+
+def team_strength(spark, d):
+    return ST.team_strength(_teams(spark, d))
+
+
+def join_team_dim(spark, d):
+    return ST.join_team_dim(ST.team_points(_scored(spark, d)), _teams(spark, d))
+
+
+def rank_max(spark, d):
+    players = PL.players_renamed(_elements(spark, d)).select("player_id", "team_id", "total_points")
+    return ST.rank_max(players, "total_points", "team_rank", ["team_id"])
+
+
+def refresh_fixtures(spark, d):
+    # The new content replaces the table whole; extra columns (id, stats…) are dropped.
+    scored = ST.score_fixtures(_fixtures(spark, d).withColumnsRenamed(ST.FIXTURE_RENAMES))
+    return MG.refresh(SC.FIXTURE_INFO, scored)
+
+
+def staging_conform(spark, d):
+    frame = CO.rename(_history(spark, d), GW.HISTORY_RENAMES)
+    return MG.conform_to(SC.PLAYER_GW_STATS, frame)
+
+
+# ------------------------------------------------------------------ scans ---
+
+def scan_teams(spark, d):
+    return _teams(spark, d)
+
+
+def scan_fixtures(spark, d):
+    return _fixtures(spark, d).drop("stats")
+
+
+def scan_elements(spark, d):
+    return _elements(spark, d)
+
+
+def scan_positions(spark, d):
+    return _positions(spark, d)
+
+
+def scan_gameweeks(spark, d):
+    return _gameweeks(spark, d)
+
+
+def scan_history(spark, d):
+    return SN.scan_history(TD.fx_history(spark, d))
+
+
+def json_flatten(spark, d):
+    events = TD.table(spark, d, "events")
+    parsed = SN.parse_json_column(events, "props", T.StructType([T.StructField("k", T.LongType())]))
+    return SN.json_flatten(parsed, sep="_")
+
+
+def union_pages(spark, d):
+    """History pages landed before the API had ``expected_goals`` union the newer
+    pages that have it: aligned by name, the missing field is null."""
+    raw = TD.fx_history(spark, d)
+    old = _before("kickoff_time", OR.FIXTURE_CUTOFF)
+    older = raw.filter(old).drop("expected_goals")
+    newer = raw.filter(~old)
+    return older.unionByName(newer, allowMissingColumns=True)
+
+
+# ------------------------------------------------------------ projections ---
+
+def project_rename(spark, d):
+    return PL.players_renamed(_elements(spark, d))
+
+
+def project_select(spark, d):
+    return ST.fixture_frame(_fixtures(spark, d).drop("stats"))
+
+
+def player_cast(spark, d):
+    return PL.player_cast(_elements(spark, d), _positions(spark, d))
+
+
+def fill_nulls(spark, d):
+    return CO.fill_nulls(_elements(spark, d), 0)
+
+
+def bool_label(spark, d):
+    return CO.label_booleans(PL.players_renamed(_elements(spark, d)), ["in_dreamteam"]) \
+        .select("player_id", "in_dreamteam")
+
+
+def join_player_position(spark, d):
+    return PL.join_player_position(_elements(spark, d), _positions(spark, d)).select(
+        "player_id", "first_name", "second_name", "position_id", "position", "team_id")
+
+
+def player_info(spark, d):
+    return PL.player_info(_elements(spark, d), _positions(spark, d))
+
+
+# -------------------------------------------------------------- gameweeks ---
+
+def player_gw_stats(spark, d):
+    return GW.player_gw_stats(scan_history(spark, d))
+
+
+def dgw_flag(spark, d):
+    return player_gw_stats(spark, d).select(*SC.PLAYER_GW_STATS_KEY, "game_count", "dgw")
+
+
+def value_counts(spark, d):
+    return GW.value_counts(GW.history_frame(scan_history(spark, d)))
+
+
+def gameweek_counts(spark, d):
+    return GW.gameweek_counts(GW.history_frame(scan_history(spark, d)))
+
+
+def gw_stats(spark, d):
+    return GW.gw_stats(_gameweeks(spark, d))
+
+
+# ------------------------------------------------------------------ merge ---
+
+def upsert_team(spark, d):
+    fixtures, teams = _fixtures(spark, d), _teams(spark, d)
+    old = _before("kickoff_time", OR.FIXTURE_CUTOFF)
+    target = ST.league_table(fixtures.filter(old), teams)
+    source = ST.league_table(fixtures.filter(~old), teams)
+    return MG.upsert(target, source, SC.TEAM_INFO_KEY)
+
+
+def upsert_player(spark, d):
+    elements, positions = _elements(spark, d), _positions(spark, d)
+    target = PL.player_info(elements.filter(F.col("team") < OR.PLAYER_TARGET_TEAMS_BELOW), positions)
+    source = PL.player_info(elements.filter(F.col("team") >= OR.PLAYER_SOURCE_TEAMS_FROM), positions)
+    return MG.upsert(target, source, SC.PLAYER_INFO_KEY)
+
+
+def upsert_gameweek(spark, d):
+    gws = _gameweeks(spark, d)
+    target = GW.gw_stats(gws.filter(_before("deadline_time", OR.EVENT_TARGET_BEFORE)))
+    source = GW.gw_stats(gws.filter(~_before("deadline_time", OR.EVENT_SOURCE_FROM)))
+    return MG.upsert(target, source, SC.GW_STATS_KEY)
+
+
+LATEST_ORDER = ["kickoff_time", "fixture", "line"]
+
+
+def upsert_player_gw(spark, d):
+    hist = _history(spark, d)
+    old = _before("kickoff_time", OR.FIXTURE_CUTOFF)
+    keep = LATEST_ORDER
+
+    def load(rows):
+        return MG.latest_per_key(GW.player_gw_stats(rows, keep=keep),
+                                 SC.PLAYER_GW_STATS_KEY, LATEST_ORDER)
+
+    target = load(hist.filter(old)).select(*SC.names(SC.PLAYER_GW_STATS))
+    source = load(hist.filter(~old))
+    return MG.upsert(target, source, SC.PLAYER_GW_STATS_KEY)
+
+
 QUERIES: dict[str, Query] = {
+    # standings
     "league_table": league_table,
+    "fixture_info": fixture_info,
     "result_counts": result_counts,
     "goals": goals,
     "team_points": team_points,
+    "match_points": match_points,
+    "match_result": match_result,
+    "filter_result": filter_result,
+    "result_pivot": result_pivot,
+    "join_full_outer": join_full_outer_q,
+    "team_strength": team_strength,
+    "join_team_dim": join_team_dim,
+    "rank_max": rank_max,
+    "refresh_fixtures": refresh_fixtures,
+    "staging_conform": staging_conform,
+    # scans
+    "scan_teams": scan_teams,
+    "scan_fixtures": scan_fixtures,
+    "scan_elements": scan_elements,
+    "scan_positions": scan_positions,
+    "scan_gameweeks": scan_gameweeks,
+    "scan_history": scan_history,
+    "json_flatten": json_flatten,
+    "union_pages": union_pages,
+    # projections and players
+    "project_rename": project_rename,
+    "project_select": project_select,
+    "player_cast": player_cast,
+    "fill_nulls": fill_nulls,
+    "bool_label": bool_label,
+    "join_player_position": join_player_position,
+    "player_info": player_info,
+    # gameweeks
+    "player_gw_stats": player_gw_stats,
+    "dgw_flag": dgw_flag,
+    "value_counts": value_counts,
+    "gameweek_counts": gameweek_counts,
+    "gw_stats": gw_stats,
+    # merge
+    "upsert_team": upsert_team,
+    "upsert_player": upsert_player,
+    "upsert_gameweek": upsert_gameweek,
+    "upsert_player_gw": upsert_player_gw,
 }
 
 

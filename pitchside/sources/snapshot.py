@@ -34,8 +34,10 @@ def read_documents(spark: SparkSession, path: str | list[str], schema: T.StructT
             .json(path))
 
 
-def conform(df: DataFrame, schema: T.StructType, strict: bool = False) -> DataFrame:
-    """Shape ``df`` like ``schema``: declared order and types; absent fields are null."""
+def conform(df: DataFrame, schema: T.StructType, strict: bool = False,
+            keep: list[str] = ()) -> DataFrame:
+    """Shape ``df`` like ``schema``: declared order and types; absent fields are
+    null.  ``keep`` names extra columns passed through after the declared ones."""
     have = {f.name: f.dataType for f in df.schema.fields}
     cols: list[Column] = []
     for f in schema.fields:
@@ -43,7 +45,7 @@ def conform(df: DataFrame, schema: T.StructType, strict: bool = False) -> DataFr
             cols.append(convert(F.col(f.name), have[f.name], f.dataType, strict).alias(f.name))
         else:
             cols.append(F.lit(None).cast(f.dataType).alias(f.name))
-    return df.select(*cols)
+    return df.select(*cols, *[F.col(k) for k in keep if k not in schema.names])
 
 
 # ------------------------------------------------------------ readers -----
@@ -100,8 +102,8 @@ def scan_gameweeks(raw: DataFrame, strict: bool = False) -> DataFrame:
 
 
 def scan_history(raw: DataFrame, players: tuple[int, int] | None = None,
-                 strict: bool = False) -> DataFrame:
-    df = conform(raw, SC.parsed(SC.HISTORY), strict)
+                 strict: bool = False, keep: list[str] = ()) -> DataFrame:
+    df = conform(raw, SC.parsed(SC.HISTORY), strict, keep)
     if players is not None:
         df = df.filter(F.col("element").between(*players))
     return df
