@@ -15,11 +15,17 @@ the remaining columns so the choice is deterministic; it is a grouped
 
 Null keys never match anything.  They are rejected by default, because a
 rerun would append them again.
+
+The key check runs inside the merge plan, not as a separate job: a window
+count over the key (the source is hash-partitioned by key for it — the same
+partitioning the anti join needs, so the exchange is shared) and a filter that
+raises on the first violation.  A valid source has unique keys, so this
+partitioning cannot be skewed; the keyed target is unique by key as well.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -69,13 +75,26 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str],
         raise ValueError(f"unknown on_duplicate policy: {on_duplicate}")
     source = conform_to(target.schema, source)
     if check:
-        bad = key_violations(source, keys, allow_null_keys).limit(1).collect()
-        if bad:
-            raise MergeError(f"source has a duplicate or null key: {bad[0].asDict()}")
+        source = checked_keys(source, keys, allow_null_keys)
     kept = target.join(source.select(*keys), keys, "left_anti")
     return kept.unionByName(source)
 
 
+def checked_keys(source: DataFrame, keys: list[str], allow_null_keys: bool = False) -> DataFrame:
+    """The source unchanged, failing at run time on a duplicate or null key."""
+    counted = source.withColumn("_key_rows", F.count(F.lit(1)).over(Window.partitionBy(*keys)))
+    dup = F.col("_key_rows") > 1
+    null = F.lit(False)
+    if not allow_null_keys:
+        for k in keys:
+            null = null | F.col(k).isNull()
+    key_text = F.to_json(F.struct(*[F.col(k) for k in keys]))
+    ok = (F.when(dup, F.raise_error(F.concat(F.lit("merge source has a duplicate key: "), key_text)))
+          .when(null, F.raise_error(F.concat(F.lit("merge source has a null key: "), key_text)))
+          .otherwise(F.lit(True)))
+    return counted.filter(ok).drop("_key_rows")
+
+
 def refresh(target_schema: T.StructType, source: DataFrame) -> DataFrame:
     """Full refresh: the new content is the source, shaped like the target."""
     return conform_to(target_schema, source)
