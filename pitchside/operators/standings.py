@@ -207,7 +207,11 @@ def league_table(fixtures: DataFrame, teams: DataFrame) -> DataFrame:
     over all qualifying teams before the dimension join.  ``finished`` is not
     consulted: a match in progress counts with its current score.
     """
-    scored = score_fixtures(fixture_frame(fixtures))
+    return league_from_scored(score_fixtures(fixture_frame(fixtures)), teams)
+
+
+def league_from_scored(scored: DataFrame, teams: DataFrame) -> DataFrame:
+    """The league table from scored fixture rows (e.g. a stored ``fixture_info``)."""
     agg = team_aggregate(team_sides(scored)) \
         .filter(_played_both_ways() & (F.col("decided_games") > 0))
     table = _goal_totals(_result_totals(agg)) \
