@@ -87,9 +87,10 @@ def player_gw_job(spark: SparkSession, landing: Landing, store: TableStore,
         players, landing.strict)
     keep = ["kickoff_time", "fixture"]
     stats = GW.player_gw_stats(hist, keep=keep, strict=landing.strict)
-    v = store.stage_upsert("player_gw_stats", stats, SC.PLAYER_GW_STATS_KEY, SC.PLAYER_GW_STATS,
-                           on_duplicate=on_duplicate,
-                           order_by=keep if on_duplicate == "latest" else None)
+    # Partitioned by gameweek: a run rewrites only the gameweeks it brings.
+    v = store.stage_upsert_partitions(
+        "player_gw_stats", stats, SC.PLAYER_GW_STATS_KEY, SC.PLAYER_GW_STATS, "gameweek_id",
+        on_duplicate=on_duplicate, order_by=keep if on_duplicate == "latest" else None)
     if csv_base:
         write_snapshot(stats.drop(*keep), f"{csv_base}/player_gw_stats",
                        snapshot_date or dt.date.today())

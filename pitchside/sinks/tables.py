@@ -5,6 +5,13 @@ Layout under one root folder (any Hadoop file system: HDFS, S3A, GCS, local)::
     <root>/<table>/v=<version>/part-*.parquet   one folder per written version
     <root>/_commits/<seq>.json                   {"tables": {table: version}, ...}
 
+A partitioned table (``stage_upsert_partitions``) is published as a map from
+partition value to the version folder that holds it,
+``{"column": c, "parts": {value: version}}``: an upsert rewrites only the
+partitions its source touches (e.g. the gameweeks of this run) and every other
+partition keeps pointing at its old folder.  ``compact`` rewrites all parts into
+one version.
+
 A write never touches the folder it reads from: every change writes a new
 version folder (a complete Spark job, so a lost executor only retries tasks),
 then one small commit file names the versions of *all* tables changed by the
@@ -22,12 +29,18 @@ import json
 import time
 import uuid
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import merge as MG
 
 COMMITS = "_commits"
+# Bound on the partition values one upsert may touch (they are collected to the
+# driver as a short list; a partition column must have few values per run).
+MAX_TOUCHED_PARTITIONS = 100_000
 
 
 class CommitConflict(RuntimeError):
@@ -108,7 +121,8 @@ class TableStore:
     def version(self, table: str) -> str | None:
         return self.state()["tables"].get(table)
 
-    def read(self, table: str, schema: T.StructType | None = None) -> DataFrame:
+    def read(self, table: str, schema: T.StructType | None = None,
+             only_parts: list[str] | None = None) -> DataFrame:
         v = self.version(table)
         if v is None:
             if schema is None:
@@ -117,7 +131,23 @@ class TableStore:
         reader = self.spark.read
         if schema is not None:
             reader = reader.schema(schema)
-        return reader.parquet(self.path(table, v))
+        if isinstance(v, str):
+            return reader.parquet(self.path(table, v))
+        # partitioned: one pruned scan per version folder, unioned
+        col, parts = v["column"], v["parts"]
+        if only_parts is not None:
+            parts = {p: parts[p] for p in only_parts if p in parts}
+        by_version: dict[str, list[str]] = {}
+        for value, ver in parts.items():
+            by_version.setdefault(ver, []).append(value)
+        frames = [reader.parquet(self.path(table, ver))
+                  .filter(F.col(col).cast("string").isin(values))
+                  for ver, values in sorted(by_version.items())]
+        if not frames:
+            if schema is None:
+                raise KeyError(f"no partitions of {table} in {self.root}")
+            return self.spark.createDataFrame([], schema)
+        return reduce(lambda a, b: a.unionByName(b), frames)
 
     def stage(self, table: str, df: DataFrame, partition_by: list[str] | None = None) -> str:
         """Write ``df`` as a new, not yet visible version of ``table``."""
@@ -134,6 +164,37 @@ class TableStore:
         merged = MG.upsert(self.read(table, schema), source, keys, **merge_options)
         return self.stage(table, merged, partition_by)
 
+    def stage_upsert_partitions(self, table: str, source: DataFrame, keys: list[str],
+                                schema: T.StructType, column: str, **merge_options) -> dict:
+        """Upsert that rewrites only the partitions (values of ``column``) the
+        source touches.  ``column`` must be part of the key, so a key never
+        moves between partitions."""
+        if column not in keys:
+            raise ValueError(f"partition column {column} must be a key column")
+        touched = [r[0] for r in source.select(F.col(column).cast("string"))
+                   .distinct().limit(MAX_TOUCHED_PARTITIONS + 1).collect()]
+        if len(touched) > MAX_TOUCHED_PARTITIONS:
+            raise ValueError(f"source touches more than {MAX_TOUCHED_PARTITIONS} partitions")
+        current = self.version(table)
+        if isinstance(current, str):
+            raise ValueError(f"{table} is not partitioned")
+        parts = dict(current["parts"]) if current else {}
+        target = self.read(table, schema, only_parts=[t for t in touched if t is not None])
+        merged = MG.upsert(target, source, keys, **merge_options)
+        version = self.stage(table, merged, [column])
+        parts.update({t: version for t in touched if t is not None})
+        return {"column": column, "parts": parts}
+
+    def compact(self, table: str, schema: T.StructType | None = None) -> int:
+        """Rewrite a partitioned table into a single version folder."""
+        current = self.version(table)
+        if not isinstance(current, dict):
+            return self.state()["seq"]
+        col = current["column"]
+        version = self.stage(table, self.read(table, schema), [col])
+        return self.commit({table: {"column": col,
+                                    "parts": {p: version for p in current["parts"]}}})
+
     def stage_refresh(self, table: str, source: DataFrame, schema: T.StructType,
                       partition_by: list[str] | None = None) -> str:
         return self.stage(table, MG.refresh(schema, source), partition_by)

@@ -162,3 +162,20 @@ def test_fixture_stream_replay_is_idempotent(spark, scratch):
     from pitchside.streaming.landing import fixture_batch
     fixture_batch(spark, store, teams)(spark.createDataFrame([], "a int"), 0)
     assert store.state()["seq"] == seq
+
+
+def test_partitioned_upsert_touches_only_its_partitions(spark, scratch):
+    store = TableStore(spark, os.path.join(scratch, "store"))
+    schema = SC.struct([("p", SC.L), ("k", SC.L), ("v", SC.S)])
+    first = spark.createDataFrame([(1, 1, "a"), (1, 2, "b"), (2, 1, "c")], schema)
+    store.commit({"t": store.stage_upsert_partitions("t", first, ["p", "k"], schema, "p")})
+    parts1 = store.version("t")["parts"]
+    second = spark.createDataFrame([(2, 1, "C"), (3, 1, "d")], schema)
+    store.commit({"t": store.stage_upsert_partitions("t", second, ["p", "k"], schema, "p")})
+    parts2 = store.version("t")["parts"]
+    assert parts2["1"] == parts1["1"] and parts2["2"] != parts1["2"] and parts2["3"] == parts2["2"]
+    want = {(1, 1, "a"), (1, 2, "b"), (2, 1, "C"), (3, 1, "d")}
+    assert as_set(store.read("t", schema).select("p", "k", "v")) == want
+    store.compact("t", schema)
+    assert len(set(store.version("t")["parts"].values())) == 1
+    assert as_set(store.read("t", schema).select("p", "k", "v")) == want
