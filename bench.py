@@ -3,7 +3,7 @@
 Runs each query of HEADLINE on ``$BENCH_SF_DIR`` (default /root/testdata/sf0.1)
 with ``local[$BENCH_CPUS]`` and prints one JSON line.  Every query is executed
 in full with the ``noop`` sink (no collect to the driver); the time per query is
-the best of ``$BENCH_REPEAT`` runs (default 2) after one warm-up pass on the
+the best of ``$BENCH_REPEAT`` runs (default 3) after one warm-up pass on the
 smallest data.
 """
 
@@ -34,7 +34,7 @@ def run(df) -> None:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    repeat = int(os.environ.get("BENCH_REPEAT", "2"))
+    repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     spark = local_session(cpus)
     qs = queries()
     warm = os.path.join(os.path.dirname(sf_dir.rstrip("/")), "sf0.001")

@@ -38,10 +38,12 @@ def with_game_count(frame: DataFrame) -> DataFrame:
 
     Counted by a keyed aggregation (partial on the map side) and joined back,
     not by a window: a window would pull every row of a hot (player, gameweek)
-    into one task; the join lets AQE split a skewed key (the counted side has
-    one row per key) or broadcast the counts when they are small.
+    into one task; in the join AQE splits a skewed key of the row side (the
+    counted side has one row per key).  The counts grow with the data, so they
+    are never broadcast: a shuffled hash join builds on the counts (already
+    partitioned by the key) and streams the rows without sorting them.
     """
-    counts = value_counts(frame)
+    counts = value_counts(frame).hint("shuffle_hash")
     out = frame.join(counts, GAME_KEY, "left")
     return out.withColumn("dgw", F.coalesce(dgw_flag("game_count"), F.lit(False)))
 

@@ -76,7 +76,8 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str],
     source = conform_to(target.schema, source)
     if check:
         source = checked_keys(source, keys, allow_null_keys)
-    kept = target.join(source.select(*keys), keys, "left_anti")
+    # The source keys grow with the data: shuffled hash join, built on them.
+    kept = target.join(source.select(*keys).hint("shuffle_hash"), keys, "left_anti")
     return kept.unionByName(source)
 
 
