@@ -1,4 +1,10 @@
-"""Re-polling as a stream: newly landed fixture pages update the tables.
+"""Re-polling as a stream: newly landed pages update the tables.
+
+Two streams share one ``TableStore``: fixture pages (``start_fixture_stream``)
+and player history pages (``start_history_stream``).  A commit that loses a
+race with the other stream is redone on the new state (``MAX_ATTEMPTS``).
+
+Fixture stream:
 
 ``readStream`` watches the fixtures landing folder; every micro-batch holds the
 pages landed since the previous one.  ``foreachBatch``:
@@ -22,18 +28,34 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas as SC
+from ..operators import gameweeks as GW
 from ..operators import standings as ST
-from ..sinks.tables import TableStore
+from ..sinks.tables import CommitConflict, TableStore
 from ..sources import snapshot as SN
 
 BATCH_KEY = "fixture_stream_batch"
+HISTORY_BATCH_KEY = "history_stream_batch"
 FIXTURES_KEY = ["id"]
+MAX_ATTEMPTS = 3
+
+
+def _with_retry(step):
+    """Run ``step`` (stage + commit against the current state) until it commits."""
+    for attempt in range(MAX_ATTEMPTS):
+        try:
+            return step()
+        except CommitConflict:
+            if attempt == MAX_ATTEMPTS - 1:
+                raise
 
 
 def fixture_batch(spark: SparkSession, store: TableStore, teams: DataFrame):
     stored_schema = SC.parsed(SC.FIXTURE)
 
     def apply(batch: DataFrame, batch_id: int) -> None:
+        _with_retry(lambda: step(batch, batch_id))
+
+    def step(batch: DataFrame, batch_id: int) -> None:
         state = store.state()
         if state["meta"].get(BATCH_KEY, -1) >= batch_id:
             return
@@ -68,3 +90,48 @@ def start_fixture_stream(spark: SparkSession, fixtures_landing: str, teams: Data
     writer = writer.trigger(availableNow=True) if available_now else \
         writer.trigger(processingTime="1 minute")
     return writer.start()
+
+
+def history_batch(spark: SparkSession, store: TableStore, on_duplicate: str = "latest"):
+    """Micro-batch of element-summary pages → partitioned upsert of player_gw_stats.
+
+    A page holds a player's whole history, so the games per (player, gameweek)
+    are counted within the batch; if one player's page landed twice in the
+    batch only the newest file is used (a keyed max joined back — no window
+    that would gather a hot player in one task).
+    """
+    order = ["kickoff_time", "fixture"]
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        state = store.state()
+        if state["meta"].get(HISTORY_BATCH_KEY, -1) >= batch_id:
+            return
+        pages = batch.select(F.col("_metadata.file_modification_time").alias("_landed"),
+                             F.col("_metadata.file_path").alias("_file"), F.inline("history"))
+        rows = SN.conform(pages, SC.parsed(SC.HISTORY), keep=["_landed", "_file"])
+        page = F.struct("_landed", "_file")
+        newest = rows.groupBy("element").agg(F.max(page).alias("_newest")).hint("shuffle_hash")
+        rows = rows.join(newest, "element").filter(page == F.col("_newest"))
+        stats = GW.player_gw_stats(rows, keep=order)
+        v = store.stage_upsert_partitions(
+            "player_gw_stats", stats, SC.PLAYER_GW_STATS_KEY, SC.PLAYER_GW_STATS, "gameweek_id",
+            on_duplicate=on_duplicate, order_by=order if on_duplicate == "latest" else None)
+        store.commit({"player_gw_stats": v}, meta={HISTORY_BATCH_KEY: batch_id},
+                     base_seq=state["seq"])
+
+    return lambda batch, batch_id: _with_retry(lambda: step(batch, batch_id))
+
+
+def start_history_stream(spark: SparkSession, history_landing: str, store: TableStore,
+                         checkpoint_location: str, available_now: bool = True,
+                         multi_line: bool = True, on_duplicate: str = "latest",
+                         max_files_per_trigger: int | None = None):
+    reader = spark.readStream.schema(SC.ELEMENT_SUMMARY).option("multiLine", multi_line)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    stream = reader.json(history_landing).select("*", "_metadata")
+    writer = stream.writeStream.foreachBatch(history_batch(spark, store, on_duplicate)) \
+        .option("checkpointLocation", checkpoint_location)
+    writer = writer.trigger(availableNow=True) if available_now else \
+        writer.trigger(processingTime="1 minute")
+    return writer.start()

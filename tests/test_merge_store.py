@@ -179,3 +179,33 @@ def test_partitioned_upsert_touches_only_its_partitions(spark, scratch):
     store.compact("t", schema)
     assert len(set(store.version("t")["parts"].values())) == 1
     assert as_set(store.read("t", schema).select("p", "k", "v")) == want
+
+
+def test_history_stream(spark, scratch):
+    from pitchside.streaming.landing import start_history_stream
+
+    def page(player, games):
+        return {"history": [{"element": player, "round": gw, "opponent_team": opp, "fixture": fx,
+                             "kickoff_time": f"2022-08-{10 + fx:02d}T19:00:00Z",
+                             "total_points": pts} for gw, opp, fx, pts in games]}
+
+    landing = os.path.join(scratch, "landing")
+    write_pages(landing, {"p1.json": page(1, [(1, 5, 1, 2), (2, 6, 2, 3), (2, 7, 3, 1)]),
+                          "p2.json": page(2, [(1, 6, 1, 7)])})
+    store = TableStore(spark, os.path.join(scratch, "store"))
+    ckpt = os.path.join(scratch, "ckpt")
+    start_history_stream(spark, landing, store, ckpt).awaitTermination(120)
+    got = {(r.player_id, r.gameweek_id, r.opponent_id): (r.points, r.game_count, r.dgw)
+           for r in store.read("player_gw_stats", SC.PLAYER_GW_STATS).collect()}
+    assert got == {(1, 1, 5): (2, 1, False), (1, 2, 6): (3, 2, True), (1, 2, 7): (1, 2, True),
+                   (2, 1, 6): (7, 1, False)}
+    parts = dict(store.version("player_gw_stats")["parts"])
+    # player 2's page lands again with a corrected score: only gameweek 1 is rewritten
+    time.sleep(1.1)
+    write_pages(landing, {"p2_again.json": page(2, [(1, 6, 1, 9)])})
+    start_history_stream(spark, landing, store, ckpt).awaitTermination(120)
+    got = {(r.player_id, r.gameweek_id, r.opponent_id): r.points
+           for r in store.read("player_gw_stats", SC.PLAYER_GW_STATS).collect()}
+    assert got == {(1, 1, 5): 2, (1, 2, 6): 3, (1, 2, 7): 1, (2, 1, 6): 9}
+    new_parts = store.version("player_gw_stats")["parts"]
+    assert new_parts["2"] == parts["2"] and new_parts["1"] != parts["1"]
