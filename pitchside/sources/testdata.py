@@ -9,14 +9,27 @@ definitions (``plans.oracle``).
 
 from __future__ import annotations
 
+import os
+import weakref
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 NO_SCORE = "P"  # an order in status P stands for a fixture not played yet
 
 
+# One base DataFrame per (session, file): like a catalog table, the file
+# listing and footer schema are resolved once per session, not per query.
+_TABLES: "weakref.WeakKeyDictionary[SparkSession, dict[str, DataFrame]]" = \
+    weakref.WeakKeyDictionary()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    path = os.path.abspath(f"{sf_dir}/{name}.parquet")
+    per_session = _TABLES.setdefault(spark, {})
+    if path not in per_session:
+        per_session[path] = spark.read.parquet(path)
+    return per_session[path]
 
 
 def _dec_text(c, scale: int):
