@@ -5,8 +5,11 @@ the operators, writes dated CSV snapshots if asked, stages new table versions
 and publishes them with ONE commit (all-or-nothing for the run).  Every job is
 re-runnable: a rerun over the same pages leaves the published tables equal.
 
-Large intermediate results are cut from their lineage by being written as a
-table version first (e.g. ``fixture_info``), and later steps read that version.
+Landed JSON is parsed once per run: the scanned rows are checkpointed (to the
+shared folder named by ``spark.checkpoint.dir``) and every later step — table
+versions, CSV snapshots, the partitions a merge touches — reads that copy.
+Large intermediate results are also cut from their lineage by being written as
+a table version first (e.g. ``fixture_info``), and later steps read that version.
 """
 
 from __future__ import annotations
@@ -17,6 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from .. import schemas as SC
+from ..session import ensure_checkpoint_dir
 from ..operators import gameweeks as GW
 from ..operators import players as PL
 from ..operators import standings as ST
@@ -39,14 +43,20 @@ def _boot(spark: SparkSession, landing: Landing) -> DataFrame:
     return SN.read_bootstrap(spark, landing.bootstrap, landing.multi_line, landing.strict)
 
 
+def _parsed_once(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """Reliable checkpoint: a lost executor re-reads the checkpoint, not the JSON."""
+    ensure_checkpoint_dir(spark)
+    return df.checkpoint(eager=True)
+
+
 def fixture_job(spark: SparkSession, landing: Landing, store: TableStore,
                 snapshot_date: dt.date | str | None = None, csv_base: str | None = None,
                 gameweeks: tuple[int, int] | None = None) -> int:
     """``fixture_info`` (full refresh) + ``team_info`` (upsert by team), one commit."""
     teams = SN.scan_teams(SN.bootstrap_array(_boot(spark, landing), "teams"), landing.strict)
-    fixtures = SN.scan_fixtures(
+    fixtures = _parsed_once(spark, SN.scan_fixtures(
         SN.read_fixture_pages(spark, landing.fixtures, landing.multi_line, landing.strict),
-        gameweeks, landing.strict)
+        gameweeks, landing.strict))
     v_fix = store.stage_refresh("fixture_info", ST.fixture_info(fixtures), SC.FIXTURE_INFO)
     info = spark.read.schema(SC.FIXTURE_INFO).parquet(store.path("fixture_info", v_fix))
     table = ST.league_from_scored(info, teams)
@@ -86,7 +96,7 @@ def player_gw_job(spark: SparkSession, landing: Landing, store: TableStore,
         SN.read_history_pages(spark, landing.history, landing.multi_line, landing.strict),
         players, landing.strict)
     keep = ["kickoff_time", "fixture"]
-    stats = GW.player_gw_stats(hist, keep=keep, strict=landing.strict)
+    stats = _parsed_once(spark, GW.player_gw_stats(hist, keep=keep, strict=landing.strict))
     # Partitioned by gameweek: a run rewrites only the gameweeks it brings.
     v = store.stage_upsert_partitions(
         "player_gw_stats", stats, SC.PLAYER_GW_STATS_KEY, SC.PLAYER_GW_STATS, "gameweek_id",

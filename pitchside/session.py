@@ -42,11 +42,16 @@ def local_session(cpus: int = 8, shuffle_partitions: int | None = None,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the platform sets it to a shared file system.  Only when it is
-    unset (local tests) do we create a scratch folder of our own.
+    On a cluster the platform sets it to a shared file system; if it is unset
+    there, this is an error (a machine-local folder would not survive the loss
+    of that machine).  Only a local-mode session (tests, bench) gets a scratch
+    folder of its own.
     """
-    path = spark.conf.get("spark.checkpoint.dir", None)
+    path = spark.conf.get("spark.checkpoint.dir", None) or \
+        spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS, S3, …)")
         path = tempfile.mkdtemp(prefix="pitchside-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     if spark.sparkContext.getCheckpointDir() is None:

@@ -39,6 +39,16 @@ FIXTURES_KEY = ["id"]
 MAX_ATTEMPTS = 3
 
 
+def _persisted(batch: DataFrame, fn):
+    """A micro-batch is used by several actions: keep its parsed rows between
+    them (lost blocks are recomputed from the landed files, which stay)."""
+    batch = batch.persist()
+    try:
+        return fn(batch)
+    finally:
+        batch.unpersist()
+
+
 def _with_retry(step):
     """Run ``step`` (stage + commit against the current state) until it commits."""
     for attempt in range(MAX_ATTEMPTS):
@@ -53,7 +63,7 @@ def fixture_batch(spark: SparkSession, store: TableStore, teams: DataFrame):
     stored_schema = SC.parsed(SC.FIXTURE)
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        _with_retry(lambda: step(batch, batch_id))
+        _persisted(batch, lambda b: _with_retry(lambda: step(b, batch_id)))
 
     def step(batch: DataFrame, batch_id: int) -> None:
         state = store.state()
@@ -119,7 +129,8 @@ def history_batch(spark: SparkSession, store: TableStore, on_duplicate: str = "l
         store.commit({"player_gw_stats": v}, meta={HISTORY_BATCH_KEY: batch_id},
                      base_seq=state["seq"])
 
-    return lambda batch, batch_id: _with_retry(lambda: step(batch, batch_id))
+    return lambda batch, batch_id: _persisted(
+        batch, lambda b: _with_retry(lambda: step(b, batch_id)))
 
 
 def start_history_stream(spark: SparkSession, history_landing: str, store: TableStore,
