@@ -79,7 +79,8 @@ def player_job(spark: SparkSession, landing: Landing, store: TableStore,
                                                landing.strict), landing.strict)
     v = store.stage_upsert("player_info", players, SC.PLAYER_INFO_KEY, SC.PLAYER_INFO)
     if csv_base:
-        write_snapshot(players, f"{csv_base}/player_info", snapshot_date or dt.date.today())
+        write_snapshot(players, f"{csv_base}/player_info", snapshot_date or dt.date.today(),
+                       bom=True)
     return store.commit({"player_info": v})
 
 
@@ -103,7 +104,7 @@ def player_gw_job(spark: SparkSession, landing: Landing, store: TableStore,
         on_duplicate=on_duplicate, order_by=keep if on_duplicate == "latest" else None)
     if csv_base:
         write_snapshot(stats.drop(*keep), f"{csv_base}/player_gw_stats",
-                       snapshot_date or dt.date.today())
+                       snapshot_date or dt.date.today(), bom=True)
     return store.commit({"player_gw_stats": v})
 
 

@@ -8,7 +8,10 @@
   (a dataframe-index column is a single-process artefact; off by default).
 
 Nested columns (arrays / structs, e.g. fixture ``stats``) are written as JSON
-text, since CSV has no nested types.  Output is UTF-8 without a byte-order mark.
+text, since CSV has no nested types.  Output is UTF-8; ``bom=True`` starts every
+part file with a byte-order mark (Spark's CSV writer has no UTF-8-with-BOM
+charset, so the mark is put in front of the first header name, which is the
+first thing each part file holds).
 Spark writes one file per partition in parallel; nothing passes through the
 driver.
 """
@@ -28,13 +31,20 @@ def flat_for_csv(df: DataFrame) -> DataFrame:
                            for f in df.schema.fields if isinstance(f.dataType, nested)})
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    flat_for_csv(df).write.mode(mode).option("header", True).csv(path)
+BOM = "\ufeff"
 
 
-def write_snapshot(df: DataFrame, base: str, snapshot_date: dt.date | str) -> str:
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite", bom: bool = False) -> None:
+    out = flat_for_csv(df)
+    if bom and out.columns:
+        out = out.withColumnRenamed(out.columns[0], BOM + out.columns[0])
+    out.write.mode(mode).option("header", True).csv(path)
+
+
+def write_snapshot(df: DataFrame, base: str, snapshot_date: dt.date | str,
+                   bom: bool = False) -> str:
     path = f"{base.rstrip('/')}/snapshot_date={snapshot_date}"
-    write_csv(df, path, mode="overwrite")
+    write_csv(df, path, mode="overwrite", bom=bom)
     return path
 
 
