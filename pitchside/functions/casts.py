@@ -1,8 +1,12 @@
-"""Type conversion of one column to a declared type.
+"""Type conversion of a column to a declared type.
 
 lenient (default): a value that does not parse becomes null (``try_cast``).
 strict: it raises, like an ``astype`` that meets bad text.
 Casting a fractional number to an integer truncates toward zero.
+
+Conversions are produced as SQL expression text so that a wide projection
+(a 30-column scan shape) is one ``selectExpr`` call instead of several
+Python→JVM calls per column; the plan is the same.
 """
 
 from __future__ import annotations
@@ -12,24 +16,36 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def convert(c: Column, source: T.DataType, target: T.DataType, strict: bool = False) -> Column:
+def q(name: str) -> str:
+    """Quoted column name for SQL expression text."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def convert_expr(name: str, source: T.DataType | None, target: T.DataType,
+                 strict: bool = False) -> str:
+    """SQL text converting column ``name`` (of type ``source``) to ``target``.
+
+    ``source=None`` means the column is absent: a typed null.
+    """
+    c, t = q(name), target.simpleString()
+    if source is None:
+        return f"cast(null as {t})"
     if source == target:
         return c
-    if isinstance(target, T.TimestampNTZType):
-        if isinstance(source, T.StringType):
-            parsed = F.to_timestamp(c) if strict else F.try_to_timestamp(c)
-            return parsed.cast(target)
-        return c.cast(target)
+    if isinstance(target, T.TimestampNTZType) and isinstance(source, T.StringType):
+        fn = "to_timestamp" if strict else "try_to_timestamp"
+        return f"cast({fn}({c}) as {t})"
     if isinstance(target, T.StringType) and isinstance(source, T.BooleanType):
-        return F.initcap(c.cast("string"))
+        return f"initcap(cast({c} as string))"
     if isinstance(target, T.BooleanType) and isinstance(source, T.StringType):
-        # 'True' / 'False' in any case; anything else is null (lenient) or an error.
-        low = F.lower(F.trim(c))
-        ok = F.when(low == "true", F.lit(True)).when(low == "false", F.lit(False))
-        if strict:
-            return F.when(c.isNull(), F.lit(None).cast("boolean")).otherwise(
-                F.coalesce(ok, F.raise_error(F.concat(F.lit("not a boolean: "), c)).cast("boolean")))
-        return ok
-    if strict:
-        return c.cast(target)
-    return c.try_cast(target)
+        low = f"lower(trim({c}))"
+        bad = (f"cast(raise_error(concat('not a boolean: ', {c})) as boolean)" if strict
+               else "cast(null as boolean)")
+        return (f"case when {c} is null then cast(null as boolean) when {low} = 'true' then true "
+                f"when {low} = 'false' then false else {bad} end")
+    return f"{'cast' if strict else 'try_cast'}({c} as {t})"
+
+
+def convert(name: str, source: T.DataType | None, target: T.DataType,
+            strict: bool = False) -> Column:
+    return F.expr(convert_expr(name, source, target, strict))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.casts import convert
+from ..functions.casts import convert_expr, q
 
 
 def rename(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
@@ -26,10 +26,14 @@ def select_columns(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def cast_columns(df: DataFrame, types: dict[str, T.DataType], strict: bool = False) -> DataFrame:
-    """Cast the listed columns; lenient by default (bad text → null)."""
-    have = {f.name: f.dataType for f in df.schema.fields}
-    return df.withColumns({
-        c: convert(F.col(c), have[c], t, strict) for c, t in types.items() if c in have})
+    """Cast the listed columns; lenient by default (bad text → null).  Column
+    order is kept; columns not listed pass through."""
+    exprs = []
+    for f in df.schema.fields:
+        e = convert_expr(f.name, f.dataType, types[f.name], strict) if f.name in types \
+            else q(f.name)
+        exprs.append(e if e == q(f.name) else f"{e} as {q(f.name)}")
+    return df.selectExpr(*exprs)
 
 
 def cast_to_schema(df: DataFrame, schema: T.StructType, strict: bool = False) -> DataFrame:
@@ -46,10 +50,14 @@ NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
 def fill_nulls(df: DataFrame, value=0, columns: list[str] | None = None) -> DataFrame:
     """Null → ``value`` in numeric columns only.  Text, boolean and time columns
     keep their nulls: a name or a deadline is never 0."""
-    targets = [f for f in df.schema.fields
-               if isinstance(f.dataType, NUMERIC) and (columns is None or f.name in columns)]
-    return df.withColumns({
-        f.name: F.coalesce(F.col(f.name), F.lit(value).cast(f.dataType)) for f in targets})
+    exprs = []
+    for f in df.schema.fields:
+        if isinstance(f.dataType, NUMERIC) and (columns is None or f.name in columns):
+            exprs.append(f"coalesce({q(f.name)}, cast({value!r} as {f.dataType.simpleString()}))"
+                         f" as {q(f.name)}")
+        else:
+            exprs.append(q(f.name))
+    return df.selectExpr(*exprs)
 
 
 def scale_columns(df: DataFrame, columns: list[str], divisor: float) -> DataFrame:

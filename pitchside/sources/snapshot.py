@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas as SC
-from ..functions.casts import convert
+from ..functions.casts import convert_expr, q
 
 
 def read_documents(spark: SparkSession, path: str | list[str], schema: T.StructType,
@@ -39,13 +39,11 @@ def conform(df: DataFrame, schema: T.StructType, strict: bool = False,
     """Shape ``df`` like ``schema``: declared order and types; absent fields are
     null.  ``keep`` names extra columns passed through after the declared ones."""
     have = {f.name: f.dataType for f in df.schema.fields}
-    cols: list[Column] = []
+    exprs = []
     for f in schema.fields:
-        if f.name in have:
-            cols.append(convert(F.col(f.name), have[f.name], f.dataType, strict).alias(f.name))
-        else:
-            cols.append(F.lit(None).cast(f.dataType).alias(f.name))
-    return df.select(*cols, *[F.col(k) for k in keep if k not in schema.names])
+        e = convert_expr(f.name, have.get(f.name), f.dataType, strict)
+        exprs.append(e if e == q(f.name) else f"{e} as {q(f.name)}")
+    return df.selectExpr(*exprs, *[q(k) for k in keep if k not in schema.names])
 
 
 # ------------------------------------------------------------ readers -----
