@@ -15,20 +15,32 @@ WIN_POINTS, DRAW_POINTS, LOSS_POINTS = 3, 1, 0
 WIN, LOSS, DRAW = "W", "L", "D"
 
 
-def match_points(goals_for: Column | str, goals_against: Column | str) -> Column:
-    """3 for a win, 1 for a draw, 0 for a loss or an unplayed match (bigint)."""
-    gf, ga = F.col(goals_for) if isinstance(goals_for, str) else goals_for, \
-        F.col(goals_against) if isinstance(goals_against, str) else goals_against
-    return (F.when(gf > ga, F.lit(WIN_POINTS))
-            .when(gf == ga, F.lit(DRAW_POINTS))
-            .otherwise(F.lit(LOSS_POINTS))).cast("bigint")
-
-
-def match_result(goals_for: Column | str, goals_against: Column | str) -> Column:
-    """'W' / 'L' / 'D', null when either score is null."""
-    gf, ga = F.col(goals_for) if isinstance(goals_for, str) else goals_for, \
-        F.col(goals_against) if isinstance(goals_against, str) else goals_against
-    return F.when(gf > ga, F.lit(WIN)).when(gf < ga, F.lit(LOSS)).when(gf == ga, F.lit(DRAW))
+def _sql_name(c: str) -> str:
+    return "`" + c.replace("`", "``") + "`"
+
+
+def points_sql(goals_for: str, goals_against: str) -> str:
+    """SQL text: 3 for a win, 1 for a draw, 0 for a loss or an unplayed match."""
+    gf, ga = _sql_name(goals_for), _sql_name(goals_against)
+    return (f"cast(case when {gf} > {ga} then {WIN_POINTS} when {gf} = {ga} then {DRAW_POINTS} "
+            f"else {LOSS_POINTS} end as bigint)")
+
+
+def result_sql(goals_for: str, goals_against: str) -> str:
+    """SQL text: 'W' / 'L' / 'D', null when either score is null."""
+    gf, ga = _sql_name(goals_for), _sql_name(goals_against)
+    return (f"case when {gf} > {ga} then '{WIN}' when {gf} < {ga} then '{LOSS}' "
+            f"when {gf} = {ga} then '{DRAW}' end")
+
+
+def match_points(goals_for: str, goals_against: str) -> Column:
+    """Points of the side whose goals are in column ``goals_for`` (bigint)."""
+    return F.expr(points_sql(goals_for, goals_against))
+
+
+def match_result(goals_for: str, goals_against: str) -> Column:
+    """Result letter of the side whose goals are in column ``goals_for``."""
+    return F.expr(result_sql(goals_for, goals_against))
 
 
 def dgw_flag(game_count: Column | str) -> Column:

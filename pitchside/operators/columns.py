@@ -62,7 +62,8 @@ def fill_nulls(df: DataFrame, value=0, columns: list[str] | None = None) -> Data
 
 def scale_columns(df: DataFrame, columns: list[str], divisor: float) -> DataFrame:
     """Divide each listed column by ``divisor`` (fractional result)."""
-    return df.withColumns({c: F.col(c) / F.lit(divisor) for c in columns})
+    return df.selectExpr(*[f"{q(c)} / {divisor!r} as {q(c)}" if c in columns else q(c)
+                           for c in df.columns])
 
 
 def label_booleans(df: DataFrame, columns: list[str]) -> DataFrame:

@@ -11,9 +11,10 @@ so they are not computed twice.
 
 from __future__ import annotations
 
+import weakref
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Row bound under which a dimension is broadcast (a team / position table has
@@ -21,8 +22,19 @@ from pyspark.sql import functions as F
 DIMENSION_MAX_ROWS = 1_000_000
 
 
+# Proven bounds, per session, keyed by the plan and the exact files it reads:
+# files are written once, so the same plan over the same files has the same
+# rows; a folder that gained or lost files gives a new key and is counted again.
+_BOUNDS: "weakref.WeakKeyDictionary[SparkSession, dict]" = weakref.WeakKeyDictionary()
+
+
 def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    return df.limit(max_rows + 1).count() <= max_rows
+    """Prove ``df`` has at most ``max_rows`` rows (a job that stops early)."""
+    memo = _BOUNDS.setdefault(df.sparkSession, {})
+    key = (df.semanticHash(), tuple(sorted(df.inputFiles())), max_rows)
+    if key not in memo:
+        memo[key] = df.limit(max_rows + 1).count() <= max_rows
+    return memo[key]
 
 
 def dimension_join(fact: DataFrame, dim: DataFrame, on, how: str = "inner",

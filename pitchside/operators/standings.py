@@ -42,7 +42,7 @@ def fixture_frame(fixtures: DataFrame) -> DataFrame:
 
 def score_fixtures(frame: DataFrame) -> DataFrame:
     """Add points and result letters for both sides."""
-    h, a = F.col("home_team_score"), F.col("away_team_score")
+    h, a = "home_team_score", "away_team_score"
     return frame.withColumns({
         "home_points": match_points(h, a), "away_points": match_points(a, h),
         "home_result": match_result(h, a), "away_result": match_result(a, h),
@@ -60,16 +60,14 @@ def team_sides(scored: DataFrame) -> DataFrame:
     Fixtures with a null team id give no side row for that team (a null group
     key is not a team).
     """
-    def side(home: bool) -> Column:
+    def side(home: bool) -> str:
         me, other = ("home", "away") if home else ("away", "home")
-        return F.struct(
-            F.col(f"{me}_team_id").alias("team_id"), F.lit(home).alias("is_home"),
-            F.col(f"{me}_team_score").alias("goals_for"),
-            F.col(f"{other}_team_score").alias("goals_against"),
-            F.col(f"{me}_points").alias("points"), F.col(f"{me}_result").alias("result"))
+        return (f"named_struct('team_id', {me}_team_id, 'is_home', {str(home).lower()}, "
+                f"'goals_for', {me}_team_score, 'goals_against', {other}_team_score, "
+                f"'points', {me}_points, 'result', {me}_result)")
 
-    return scored.select(F.inline(F.array(side(True), side(False)))) \
-        .filter(F.col("team_id").isNotNull())
+    return scored.selectExpr(f"inline(array({side(True)}, {side(False)}))") \
+        .filter("team_id is not null")
 
 
 # ------------------------------------------------------------- per team ----
@@ -80,54 +78,50 @@ GOAL_COLUMNS = ["home_goals_scored", "away_goals_scored", "home_goals_against",
 POINT_COLUMNS = ["home_points", "away_points"]
 
 
-def team_aggregate(sides: DataFrame) -> DataFrame:
-    """One pass: every per-team count and sum, plus the three presence counts."""
-    home, away = F.col("is_home"), ~F.col("is_home")
-    res, gf, ga, pts = F.col("result"), F.col("goals_for"), F.col("goals_against"), F.col("points")
+def _team_measures() -> dict[str, str]:
+    """Name → aggregate (SQL text) of every per-team measure."""
+    out = {"home_games": "count_if(is_home)", "away_games": "count_if(not is_home)",
+           "decided_games": "count_if(result is not null)"}
+    for side, cond in (("home", "is_home"), ("away", "not is_home")):
+        for name, letter in (("wins", WIN), ("loss", LOSS), ("draw", DRAW)):
+            out[f"{side}_{name}"] = f"count_if({cond} and result = '{letter}')"
+    # A sum over no values (all scores null) is 0, not null.
+    for side, cond in (("home", "is_home"), ("away", "not is_home")):
+        for name, value in (("goals_scored", "goals_for"), ("goals_against", "goals_against"),
+                            ("points", "points")):
+            out[f"{side}_{name}"] = f"coalesce(sum(if({cond}, {value}, null)), 0L)"
+    return out
+
 
-    def total(cond: Column, value: Column) -> Column:
-        # A sum over no values (all scores null) is 0, not null.
-        return F.coalesce(F.sum(F.when(cond, value)), F.lit(0).cast("bigint"))
+TEAM_MEASURES = _team_measures()
 
+
+def team_aggregate(sides: DataFrame) -> DataFrame:
+    """One pass: every per-team count and sum, plus the three presence counts."""
     return sides.groupBy("team_id").agg(
-        F.count_if(home).alias("home_games"),
-        F.count_if(away).alias("away_games"),
-        F.count_if(res.isNotNull()).alias("decided_games"),
-        F.count_if(home & (res == WIN)).alias("home_wins"),
-        F.count_if(home & (res == LOSS)).alias("home_loss"),
-        F.count_if(home & (res == DRAW)).alias("home_draw"),
-        F.count_if(away & (res == WIN)).alias("away_wins"),
-        F.count_if(away & (res == LOSS)).alias("away_loss"),
-        F.count_if(away & (res == DRAW)).alias("away_draw"),
-        total(home, gf).alias("home_goals_scored"),
-        total(away, gf).alias("away_goals_scored"),
-        total(home, ga).alias("home_goals_against"),
-        total(away, ga).alias("away_goals_against"),
-        total(home, pts).alias("home_points"),
-        total(away, pts).alias("away_points"),
-    )
+        *[F.expr(e).alias(n) for n, e in TEAM_MEASURES.items()])
 
 
 def _result_totals(df: DataFrame) -> DataFrame:
-    return df.withColumns({
-        "total_wins": F.col("home_wins") + F.col("away_wins"),
-        "total_loss": F.col("home_loss") + F.col("away_loss"),
-        "total_draw": F.col("home_draw") + F.col("away_draw"),
-    }).withColumn("games_played", F.col("total_wins") + F.col("total_loss") + F.col("total_draw"))
+    return df.selectExpr(
+        "*", "home_wins + away_wins as total_wins", "home_loss + away_loss as total_loss",
+        "home_draw + away_draw as total_draw",
+        "home_wins + away_wins + home_loss + away_loss + home_draw + away_draw as games_played")
 
 
 def _goal_totals(df: DataFrame) -> DataFrame:
-    return df.withColumns({
-        "total_goals_scored": F.col("home_goals_scored") + F.col("away_goals_scored"),
-        "total_goals_against": F.col("home_goals_against") + F.col("away_goals_against"),
-        "home_goal_difference": F.col("home_goals_scored") - F.col("home_goals_against"),
-        "away_goal_difference": F.col("away_goals_scored") - F.col("away_goals_against"),
-    }).withColumn("goal_difference",
-                  F.col("total_goals_scored") - F.col("total_goals_against"))
+    return df.selectExpr(
+        "*",
+        "home_goals_scored + away_goals_scored as total_goals_scored",
+        "home_goals_against + away_goals_against as total_goals_against",
+        "home_goals_scored - home_goals_against as home_goal_difference",
+        "away_goals_scored - away_goals_against as away_goal_difference",
+        "home_goals_scored + away_goals_scored - home_goals_against - away_goals_against"
+        " as goal_difference")
 
 
 def _played_both_ways() -> Column:
-    return (F.col("home_games") > 0) & (F.col("away_games") > 0)
+    return F.expr("home_games > 0 and away_games > 0")
 
 
 def result_counts(scored: DataFrame) -> DataFrame:
@@ -214,8 +208,8 @@ def league_from_scored(scored: DataFrame, teams: DataFrame) -> DataFrame:
     """The league table from scored fixture rows (e.g. a stored ``fixture_info``)."""
     agg = team_aggregate(team_sides(scored)) \
         .filter(_played_both_ways() & (F.col("decided_games") > 0))
-    table = _goal_totals(_result_totals(agg)) \
-        .withColumn("total_points", F.col("home_points") + F.col("away_points"))
+    table = _goal_totals(_result_totals(agg)).selectExpr(
+        "*", "home_points + away_points as total_points")
     ranked = rank_max_window(table, "total_points", "league_position")
     joined = dimension_join(ranked, team_strength(teams), "team_id", "inner")
     return joined.select(*SC.names(SC.TEAM_INFO))

@@ -13,7 +13,6 @@ import os
 import weakref
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 NO_SCORE = "P"  # an order in status P stands for a fixture not played yet
 
@@ -32,90 +31,80 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return per_session[path]
 
 
-def _dec_text(c, scale: int):
-    return c.cast(f"decimal(12,{scale})").cast("string")
-
+# Each view is one projection written as Spark SQL expression text (one call to
+# the JVM per view instead of several per column).
 
 def fx_teams(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.col("n_nationkey").cast("bigint")
-
-    def rating(m):
-        return (F.lit(1000) + (k * m) % 350).cast("bigint")
-
-    return table(spark, sf_dir, "nation").select(
-        k.alias("id"), F.col("n_name").alias("name"),
-        (F.lit(1) + k % 5).cast("bigint").alias("strength"),
-        rating(37).alias("strength_overall_home"), rating(41).alias("strength_overall_away"),
-        rating(43).alias("strength_attack_home"), rating(47).alias("strength_attack_away"),
-        rating(53).alias("strength_defence_home"), rating(59).alias("strength_defence_away"),
-    )
+    k = "cast(n_nationkey as bigint)"
+    ratings = [f"cast(1000 + ({k} * {m}) % 350 as bigint) as {name}" for name, m in (
+        ("strength_overall_home", 37), ("strength_overall_away", 41),
+        ("strength_attack_home", 43), ("strength_attack_away", 47),
+        ("strength_defence_home", 53), ("strength_defence_away", 59))]
+    return table(spark, sf_dir, "nation").selectExpr(
+        f"{k} as id", "n_name as name", f"cast(1 + {k} % 5 as bigint) as strength", *ratings)
 
 
 def fx_fixtures(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    unplayed = F.col("o_orderstatus") == NO_SCORE
-    key = F.col("o_orderkey")
-    return o.join(c, o.o_custkey == c.c_custkey).select(
-        key.alias("id"),
-        (key % 39).alias("event"),
-        (F.col("o_orderstatus") != NO_SCORE).alias("finished"),
-        F.col("o_orderdate").alias("kickoff_time"),
-        F.when(unplayed, F.lit(0)).otherwise(F.lit(90)).cast("bigint").alias("minutes"),
-        F.col("c_nationkey").cast("bigint").alias("team_h"),
-        ((F.col("c_nationkey") + 1 + key % 24) % 25).cast("bigint").alias("team_a"),
-        F.when(~unplayed, F.col("o_custkey") % 5).alias("team_h_score"),
-        F.when(~unplayed, F.floor("o_totalprice").cast("bigint") % 4).alias("team_a_score"),
-        (F.lit(1) + F.col("o_custkey") % 5).alias("team_h_difficulty"),
-        (F.lit(1) + key % 5).alias("team_a_difficulty"),
+    unplayed = f"o_orderstatus = '{NO_SCORE}'"
+    return o.join(c, o.o_custkey == c.c_custkey).selectExpr(
+        "o_orderkey as id",
+        "o_orderkey % 39 as event",
+        f"o_orderstatus != '{NO_SCORE}' as finished",
+        "o_orderdate as kickoff_time",
+        f"cast(case when {unplayed} then 0 else 90 end as bigint) as minutes",
+        "cast(c_nationkey as bigint) as team_h",
+        "cast((c_nationkey + 1 + o_orderkey % 24) % 25 as bigint) as team_a",
+        f"case when not {unplayed} then o_custkey % 5 end as team_h_score",
+        f"case when not {unplayed} then cast(floor(o_totalprice) as bigint) % 4 end as team_a_score",
+        "1 + o_custkey % 5 as team_h_difficulty",
+        "1 + o_orderkey % 5 as team_a_difficulty",
     )
 
 
 def fx_element_types(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "region").select(
-        F.col("r_regionkey").cast("bigint").alias("id"),
-        F.col("r_name").alias("plural_name_short"))
+    return table(spark, sf_dir, "region").selectExpr(
+        "cast(r_regionkey as bigint) as id", "r_name as plural_name_short")
 
 
 def fx_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.col("c_custkey")
-    return table(spark, sf_dir, "customer").select(
-        k.alias("id"), F.col("c_mktsegment").alias("first_name"),
-        F.col("c_name").alias("second_name"),
-        F.when(k % 97 == 0, F.lit(9).cast("bigint")).otherwise(k % 5).alias("element_type"),
-        F.col("c_nationkey").cast("bigint").alias("team"),
-        (F.lit(40) + k % 90).alias("now_cost"),
-        (k % 200).alias("total_points"),
-        _dec_text(F.col("c_acctbal"), 2).alias("influence"),
-        _dec_text(k % 1000, 1).alias("selected_by_percent"),
-        (k % 50 == 0).alias("in_dreamteam"),
-        F.when(k % 4 != 0, 25 * (k % 4)).alias("chance_of_playing_next_round"),
+    return table(spark, sf_dir, "customer").selectExpr(
+        "c_custkey as id", "c_mktsegment as first_name", "c_name as second_name",
+        "case when c_custkey % 97 = 0 then 9L else c_custkey % 5 end as element_type",
+        "cast(c_nationkey as bigint) as team",
+        "40 + c_custkey % 90 as now_cost",
+        "c_custkey % 200 as total_points",
+        "cast(cast(c_acctbal as decimal(12,2)) as string) as influence",
+        "cast(cast(c_custkey % 1000 as decimal(12,1)) as string) as selected_by_percent",
+        "c_custkey % 50 = 0 as in_dreamteam",
+        "case when c_custkey % 4 != 0 then 25 * (c_custkey % 4) end"
+        " as chance_of_playing_next_round",
     )
 
 
 def fx_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    qty = F.col("l_quantity").cast("bigint")
-    return table(spark, sf_dir, "lineitem").select(
-        F.col("l_partkey").alias("element"),
-        F.col("l_orderkey").alias("fixture"),
-        (F.col("l_orderkey") % 38 + 1).alias("round"),
-        F.col("l_suppkey").alias("opponent_team"),
-        F.col("l_shipdate").alias("kickoff_time"),
-        (qty % 4).alias("goals_scored"),
-        (F.col("l_linenumber").cast("bigint") % 3).alias("assists"),
-        (qty + 40).alias("minutes"),
-        (F.floor("l_extendedprice").cast("bigint") % 15).alias("total_points"),
-        _dec_text(F.col("l_discount"), 2).alias("expected_goals"),
-        F.col("l_linenumber").cast("bigint").alias("line"),
+    return table(spark, sf_dir, "lineitem").selectExpr(
+        "l_partkey as element",
+        "l_orderkey as fixture",
+        "l_orderkey % 38 + 1 as round",
+        "l_suppkey as opponent_team",
+        "l_shipdate as kickoff_time",
+        "cast(l_quantity as bigint) % 4 as goals_scored",
+        "cast(l_linenumber as bigint) % 3 as assists",
+        "cast(l_quantity as bigint) + 40 as minutes",
+        "cast(floor(l_extendedprice) as bigint) % 15 as total_points",
+        "cast(cast(l_discount as decimal(12,2)) as string) as expected_goals",
+        "cast(l_linenumber as bigint) as line",
     )
 
 
 def fx_gw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    et = F.col("event_type")
-    return table(spark, sf_dir, "events").select(
-        F.col("event_id").alias("id"),
-        F.col("ts").alias("deadline_time"),
-        F.floor("value").cast("bigint").alias("average_entry_score"),
-        F.when(et != "error", F.get_json_object("props", "$.k").cast("bigint")).alias("highest_score"),
-        F.when(et != "signup", F.col("user_id")).alias("most_selected"),
+    return table(spark, sf_dir, "events").selectExpr(
+        "event_id as id",
+        "ts as deadline_time",
+        "cast(floor(value) as bigint) as average_entry_score",
+        "case when event_type != 'error' then cast(get_json_object(props, '$.k') as bigint) end"
+        " as highest_score",
+        "case when event_type != 'signup' then user_id end as most_selected",
     )
