@@ -33,18 +33,53 @@ def value_counts(frame: DataFrame, keys: list[str] = GAME_KEY, name: str = "game
     return frame.filter(cond).groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
 
 
-def with_game_count(frame: DataFrame) -> DataFrame:
+# A (player, gameweek) with at least this many rows is split over SALT_BUCKETS
+# tasks when the counts are joined back.  The hot keys are collected to plan the
+# split; there are at most total_rows / HOT_KEY_ROWS of them, checked below.
+HOT_KEY_ROWS = 1_000_000
+SALT_BUCKETS = 64
+MAX_HOT_KEYS = 10_000
+
+
+def with_game_count(frame: DataFrame, hot_key_rows: int = HOT_KEY_ROWS,
+                    buckets: int = SALT_BUCKETS) -> DataFrame:
     """Attach games per (player, gameweek) to every row, and the DGW flag.
 
     Counted by a keyed aggregation (partial on the map side) and joined back,
     not by a window: a window would pull every row of a hot (player, gameweek)
-    into one task; in the join AQE splits a skewed key of the row side (the
-    counted side has one row per key).  The counts grow with the data, so they
-    are never broadcast: a shuffled hash join builds on the counts (already
-    partitioned by the key) and streams the rows without sorting them.
+    into one task.  The counts grow with the data, so they are never broadcast:
+    a shuffled hash join builds on the counts (already partitioned by the key)
+    and streams the rows without sorting them.
+
+    Hot keys are split: a first, cheap pass over the counts finds keys with at
+    least ``hot_key_rows`` rows; their rows get a salt in [0, buckets) and their
+    count row is repeated once per salt, so one hot key is spread over
+    ``buckets`` join tasks.  Every other key keeps salt 0 and the plain path.
     """
-    counts = value_counts(frame).hint("shuffle_hash")
-    out = frame.join(counts, GAME_KEY, "left")
+    counts = value_counts(frame)
+    hot = counts.filter(F.col("game_count") >= hot_key_rows).select(*GAME_KEY) \
+        .limit(MAX_HOT_KEYS + 1).collect()
+    if len(hot) > MAX_HOT_KEYS:
+        raise ValueError(f"more than {MAX_HOT_KEYS} keys hold {hot_key_rows}+ rows; "
+                         "raise hot_key_rows")
+    if not hot:
+        out = frame.join(counts.hint("shuffle_hash"), GAME_KEY, "left")
+    else:
+        spark = frame.sparkSession
+        # proven small: at most MAX_HOT_KEYS rows, collected above
+        hot_keys = F.broadcast(spark.createDataFrame(
+            [tuple(r) for r in hot], frame.select(*GAME_KEY).schema)
+            .withColumn("_hot", F.lit(True)))
+        salt = F.pmod(F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in frame.columns]),
+                      F.lit(buckets))
+        rows = frame.join(hot_keys, GAME_KEY, "left") \
+            .withColumn("_salt", F.when(F.col("_hot"), salt).otherwise(F.lit(0).cast("bigint")))
+        salted_counts = counts.join(hot_keys, GAME_KEY, "left").withColumn(
+            "_salt", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0).cast("bigint"),
+                                                                F.lit(buckets - 1).cast("bigint")))
+                               .otherwise(F.array(F.lit(0).cast("bigint"))))).drop("_hot")
+        out = rows.drop("_hot").join(salted_counts.hint("shuffle_hash"), GAME_KEY + ["_salt"],
+                                     "left").drop("_salt")
     return out.withColumn("dgw", F.coalesce(dgw_flag("game_count"), F.lit(False)))
 
 

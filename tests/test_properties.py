@@ -77,9 +77,21 @@ def test_hot_key_holds_a_third_of_rows(spark):
         F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id") + 1_000_000).alias("player_id"),
         F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id") % 38).alias("gameweek_id"),
         (F.col("id") % 20).alias("opponent_id"))
-    out = GW.with_game_count(df)
-    hot = out.filter((F.col("player_id") == 1) & (F.col("gameweek_id") == 1))
-    assert out.count() == n
-    assert hot.select(F.min("game_count"), F.max("game_count")).first() == (n // 3, n // 3)
+    for threshold in (GW.HOT_KEY_ROWS, 1000):      # plain path, then the hot key split
+        out = GW.with_game_count(df, hot_key_rows=threshold, buckets=8)
+        hot = out.filter((F.col("player_id") == 1) & (F.col("gameweek_id") == 1))
+        assert out.count() == n and out.filter("game_count is null").count() == 0
+        assert hot.select(F.min("game_count"), F.max("game_count")).first() == (n // 3, n // 3)
+        assert out.filter("player_id != 1").select(F.max("game_count")).first()[0] == 1
+    # the hot key's rows are spread over several join tasks (AQE would merge the
+    # small partitions of this test back together, so coalescing is off here)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        plan = GW.with_game_count(df, hot_key_rows=1000, buckets=8)
+        per_task = plan.withColumn("task", F.spark_partition_id()) \
+            .filter("player_id = 1").groupBy("task").count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(per_task) > 1
     latest = MG.latest_per_key(df.withColumn("t", F.col("opponent_id")), ["player_id", "gameweek_id"], ["t"])
     assert latest.filter("player_id = 1 and gameweek_id = 1").first().t == 19
