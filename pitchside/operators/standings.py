@@ -1,6 +1,6 @@
 """Match scoring and the league table.
 
-Plan shape (see README "Plans"): the fixtures are read once, every fixture is
+Plan shape (see README, section "Plans"): the fixtures are read once, every fixture is
 turned into two team-side rows with ``inline(array(home, away))`` (no second
 scan, no union), and ONE ``groupBy(team_id)`` computes all result counts, goal
 sums and points with conditional aggregates.  The aggregation is partial on the
