@@ -37,6 +37,8 @@ BATCH_KEY = "fixture_stream_batch"
 HISTORY_BATCH_KEY = "history_stream_batch"
 FIXTURES_KEY = ["id"]
 MAX_ATTEMPTS = 3
+# The newest-page list has at most one row per landed file of the batch.
+MAX_BROADCAST_FILES = 1_000_000
 
 
 def _persisted(batch: DataFrame, fn):
@@ -106,9 +108,11 @@ def history_batch(spark: SparkSession, store: TableStore, on_duplicate: str = "l
     """Micro-batch of element-summary pages → partitioned upsert of player_gw_stats.
 
     A page holds a player's whole history, so the games per (player, gameweek)
-    are counted within the batch; if one player's page landed twice in the
-    batch only the newest file is used (a keyed max joined back — no window
-    that would gather a hot player in one task).
+    are counted within the batch.  If one player's page landed twice in the
+    batch only the newest file is used: the newest file per player is found on
+    the (file, player) pairs — at most one row per landed file — and the rows
+    are kept by a semi join with that file list, broadcast because it is bounded
+    by the batch's file count.  The rows themselves are never shuffled by player.
     """
     order = ["kickoff_time", "fixture"]
 
@@ -119,9 +123,13 @@ def history_batch(spark: SparkSession, store: TableStore, on_duplicate: str = "l
         pages = batch.select(F.col("_metadata.file_modification_time").alias("_landed"),
                              F.col("_metadata.file_path").alias("_file"), F.inline("history"))
         rows = SN.conform(pages, SC.parsed(SC.HISTORY), keep=["_landed", "_file"])
-        page = F.struct("_landed", "_file")
-        newest = rows.groupBy("element").agg(F.max(page).alias("_newest")).hint("shuffle_hash")
-        rows = rows.join(newest, "element").filter(page == F.col("_newest"))
+        newest = rows.select("_file", "_landed", "element").distinct() \
+            .groupBy("element").agg(F.max(F.struct("_landed", "_file")).alias("_newest")) \
+            .select(F.col("_newest._file").alias("_file"))
+        files = len(batch.inputFiles())
+        if files <= MAX_BROADCAST_FILES:
+            newest = F.broadcast(newest)
+        rows = rows.join(newest, "_file", "left_semi")
         stats = GW.player_gw_stats(rows, keep=order)
         v = store.stage_upsert_partitions(
             "player_gw_stats", stats, SC.PLAYER_GW_STATS_KEY, SC.PLAYER_GW_STATS, "gameweek_id",

@@ -201,14 +201,19 @@ def test_history_stream(spark, scratch):
 
     landing = os.path.join(scratch, "landing")
     write_pages(landing, {"p1.json": page(1, [(1, 5, 1, 2), (2, 6, 2, 3), (2, 7, 3, 1)]),
-                          "p2.json": page(2, [(1, 6, 1, 7)])})
+                          "p2.json": page(2, [(1, 6, 1, 7)]),
+                          # player 3's page landed twice in one batch: the newer wins whole
+                          "p3_old.json": page(3, [(1, 4, 1, 1), (1, 5, 2, 1)]),
+                          "p3_new.json": page(3, [(1, 4, 1, 5)])})
+    now = time.time()
+    os.utime(os.path.join(landing, "p3_old.json"), (now - 60, now - 60))
     store = TableStore(spark, os.path.join(scratch, "store"))
     ckpt = os.path.join(scratch, "ckpt")
     start_history_stream(spark, landing, store, ckpt).awaitTermination(120)
     got = {(r.player_id, r.gameweek_id, r.opponent_id): (r.points, r.game_count, r.dgw)
            for r in store.read("player_gw_stats", SC.PLAYER_GW_STATS).collect()}
     assert got == {(1, 1, 5): (2, 1, False), (1, 2, 6): (3, 2, True), (1, 2, 7): (1, 2, True),
-                   (2, 1, 6): (7, 1, False)}
+                   (2, 1, 6): (7, 1, False), (3, 1, 4): (5, 1, False)}
     parts = dict(store.version("player_gw_stats")["parts"])
     # player 2's page lands again with a corrected score: only gameweek 1 is rewritten
     time.sleep(1.1)
@@ -216,6 +221,6 @@ def test_history_stream(spark, scratch):
     start_history_stream(spark, landing, store, ckpt).awaitTermination(120)
     got = {(r.player_id, r.gameweek_id, r.opponent_id): r.points
            for r in store.read("player_gw_stats", SC.PLAYER_GW_STATS).collect()}
-    assert got == {(1, 1, 5): 2, (1, 2, 6): 3, (1, 2, 7): 1, (2, 1, 6): 9}
+    assert got == {(1, 1, 5): 2, (1, 2, 6): 3, (1, 2, 7): 1, (2, 1, 6): 9, (3, 1, 4): 5}
     new_parts = store.version("player_gw_stats")["parts"]
     assert new_parts["2"] == parts["2"] and new_parts["1"] != parts["1"]
