@@ -3,8 +3,6 @@
 import os
 
 import pytest
-from pyspark.errors import PySparkException
-from pyspark.sql import functions as F
 
 from conftest import write_pages
 from pitchside import schemas as SC
