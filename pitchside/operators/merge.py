@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.casts import q
 from ..sources.snapshot import conform
 
 
@@ -56,12 +57,14 @@ def key_violations(source: DataFrame, keys: list[str], allow_null_keys: bool = F
 
 def latest_per_key(source: DataFrame, keys: list[str], order_by: list[str]) -> DataFrame:
     """One row per key: the greatest by ``order_by`` then by every other column."""
-    rest = [c for c in source.columns if c not in keys]
+    cols = source.columns
+    rest = [c for c in cols if c not in keys]
     tiebreak = [c for c in rest if c not in order_by]
-    chosen = F.max_by(F.struct(*[F.col(c) for c in rest]),
-                      F.struct(*[F.col(c) for c in list(order_by) + tiebreak]))
-    return source.groupBy(*keys).agg(chosen.alias("_row")).select(*keys, "_row.*") \
-        .select(*source.columns)
+    value = ", ".join(q(c) for c in rest)
+    order = ", ".join(q(c) for c in list(order_by) + tiebreak)
+    chosen = F.expr(f"max_by(struct({value}), struct({order}))").alias("_row")
+    return source.groupBy(*keys).agg(chosen) \
+        .selectExpr(*[q(c) if c in keys else f"_row.{q(c)}" for c in cols])
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: list[str],
