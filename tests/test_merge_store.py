@@ -224,3 +224,20 @@ def test_history_stream(spark, scratch):
     assert got == {(1, 1, 5): 2, (1, 2, 6): 3, (1, 2, 7): 1, (2, 1, 6): 9, (3, 1, 4): 5}
     new_parts = store.version("player_gw_stats")["parts"]
     assert new_parts["2"] == parts["2"] and new_parts["1"] != parts["1"]
+
+
+def test_command_line_runs_all_jobs(spark, scratch):
+    from pitchside.__main__ import main
+    pages = {"e1.json": [fixture(1, 1, 2, 2, 1, id=1), fixture(2, 2, 1, 1, 1, id=2)]}
+    el = [{"id": 7, "first_name": "A", "element_type": 1, "team": 1}]
+    ev = [{"id": 1, "deadline_time": "2022-08-05T17:30:00Z"}]
+    hist = {"p7.json": {"history": [{"element": 7, "round": 1, "opponent_team": 2}]}}
+    landing = land(scratch, [team(1), team(2)], pages, el, ev, hist)
+    store = os.path.join(scratch, "store")
+    done = main(["all", "--bootstrap", landing.bootstrap, "--fixtures", landing.fixtures,
+                 "--history", landing.history, "--store", store, "--date", "2024-01-03",
+                 "--csv", os.path.join(scratch, "csv"), "--local", "4"])
+    assert set(done) == {"fixtures", "players", "player-gw", "gameweeks"}
+    tables = TableStore(spark, store).state()["tables"]
+    assert set(tables) == {"fixture_info", "team_info", "player_info", "player_gw_stats",
+                           "gw_stats"}
