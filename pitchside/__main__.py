@@ -1,11 +1,11 @@
 """Command line: run the batch jobs, one per result-table family.
 
-    spark-submit -m pitchside all --bootstrap s3://…/bootstrap/ \
-        --fixtures s3://…/fixtures/ --history s3://…/element-summary/ \
-        --store s3://…/tables/ --csv s3://…/csv/ --date 2024-01-02
+    python -m pitchside all --bootstrap s3a://…/bootstrap/ \
+        --fixtures s3a://…/fixtures/ --history s3a://…/element-summary/ \
+        --store s3a://…/tables/ --csv s3a://…/csv/ --date 2024-01-02
 
-or ``python -m pitchside … --local 8`` on one machine.  The session comes from
-the platform (``getOrCreate``); ``--local N`` builds a local one instead.
+The session comes from ``getOrCreate`` (the cluster's spark-defaults decide the
+master); ``--local N`` builds a local session instead.
 """
 
 from __future__ import annotations
