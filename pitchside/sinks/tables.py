@@ -20,7 +20,11 @@ new state of every table of the run — the single commit of the original
 scripts.  A run that dies before its commit leaves only an unreferenced folder.
 Commit files are created under a temporary name and renamed into place; a
 rename onto an existing sequence number fails, so two concurrent runs cannot
-both commit the same step (the loser re-reads and retries).
+both commit the same step.  Concurrency is optimistic and per table: a staged
+upsert remembers the version it read, and the commit fails (``CommitConflict``)
+if another run has published that table since — the run is redone on the new
+state, never merged onto a stale one.  A lost rename race where only other
+tables changed is retried on the fresh state.
 """
 
 from __future__ import annotations
@@ -48,9 +52,12 @@ class CommitConflict(RuntimeError):
 
 
 class TableStore:
+    COMMIT_ATTEMPTS = 5
+
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._read_versions: dict[str, object] = {}   # table -> version a staged write read
         jvm = spark.sparkContext._jvm
         self._Path = jvm.org.apache.hadoop.fs.Path
         self._jvm = jvm
@@ -93,9 +100,25 @@ class TableStore:
     def commit(self, versions: dict[str, str], meta: dict | None = None,
                base_seq: int | None = None) -> int:
         """Publish new versions of some tables (others keep theirs) in one step."""
-        state = self.state()
-        if base_seq is not None and state["seq"] != base_seq:
-            raise CommitConflict(f"store moved from commit {base_seq} to {state['seq']}")
+        for attempt in range(self.COMMIT_ATTEMPTS):
+            state = self.state()
+            if base_seq is not None and state["seq"] != base_seq:
+                raise CommitConflict(f"store moved from commit {base_seq} to {state['seq']}")
+            for table in versions:
+                if table in self._read_versions and \
+                        state["tables"].get(table) != self._read_versions[table]:
+                    raise CommitConflict(f"{table} was published by another run")
+            try:
+                seq = self._commit_once(state, versions, meta)
+            except CommitConflict:
+                if attempt == self.COMMIT_ATTEMPTS - 1 or base_seq is not None:
+                    raise
+                continue
+            for table in versions:
+                self._read_versions.pop(table, None)
+            return seq
+
+    def _commit_once(self, state: dict, versions: dict, meta: dict | None) -> int:
         doc = {"tables": {**state["tables"], **versions},
                "meta": {**state.get("meta", {}), **(meta or {})},
                "committed_at": time.time()}
@@ -161,6 +184,7 @@ class TableStore:
     def stage_upsert(self, table: str, source: DataFrame, keys: list[str],
                      schema: T.StructType, partition_by: list[str] | None = None,
                      **merge_options) -> str:
+        self._read_versions[table] = self.version(table)
         merged = MG.upsert(self.read(table, schema), source, keys, **merge_options)
         return self.stage(table, merged, partition_by)
 
@@ -178,6 +202,7 @@ class TableStore:
         current = self.version(table)
         if isinstance(current, str):
             raise ValueError(f"{table} is not partitioned")
+        self._read_versions[table] = current
         parts = dict(current["parts"]) if current else {}
         target = self.read(table, schema, only_parts=[t for t in touched if t is not None])
         merged = MG.upsert(target, source, keys, **merge_options)

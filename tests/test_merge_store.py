@@ -241,3 +241,19 @@ def test_command_line_runs_all_jobs(spark, scratch):
     tables = TableStore(spark, store).state()["tables"]
     assert set(tables) == {"fixture_info", "team_info", "player_info", "player_gw_stats",
                            "gw_stats"}
+
+
+def test_concurrent_runs_never_lose_an_update(spark, scratch):
+    root = os.path.join(scratch, "store")
+    schema = SC.struct([("k", SC.L), ("v", SC.S)])
+    TableStore(spark, root).upsert("t", spark.createDataFrame([(1, "a")], schema), ["k"], schema)
+    a, b = TableStore(spark, root), TableStore(spark, root)
+    va = a.stage_upsert("t", spark.createDataFrame([(2, "b")], schema), ["k"], schema)
+    vb = b.stage_upsert("t", spark.createDataFrame([(3, "c")], schema), ["k"], schema)
+    vu = b.stage_upsert("u", spark.createDataFrame([(9, "z")], schema), ["k"], schema)
+    a.commit({"t": va})
+    with pytest.raises(CommitConflict):          # b read t before a published it
+        b.commit({"t": vb})
+    b.commit({"u": vu})                          # another table: fine on the new state
+    assert as_set(a.read("t")) == {(1, "a"), (2, "b")}
+    assert as_set(a.read("u")) == {(9, "z")}
