@@ -105,7 +105,8 @@ def player_gw_job(spark: SparkSession, landing: Landing, store: TableStore,
     if csv_base:
         write_snapshot(stats.drop(*keep), f"{csv_base}/player_gw_stats",
                        snapshot_date or dt.date.today(), bom=True)
-    return store.commit({"player_gw_stats": v})
+    seq = store.commit({"player_gw_stats": v})
+    return store.compact_if_needed("player_gw_stats", SC.PLAYER_GW_STATS) or seq
 
 
 def gameweek_job(spark: SparkSession, landing: Landing, store: TableStore,

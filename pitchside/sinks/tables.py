@@ -210,6 +210,19 @@ class TableStore:
         parts.update({t: version for t in touched if t is not None})
         return {"column": column, "parts": parts}
 
+    def version_count(self, table: str) -> int:
+        """Folders a read of ``table`` has to scan (1 for an unpartitioned table)."""
+        v = self.version(table)
+        return len(set(v["parts"].values())) if isinstance(v, dict) else int(v is not None)
+
+    def compact_if_needed(self, table: str, schema: T.StructType | None = None,
+                          max_versions: int = 32) -> int | None:
+        """Compact a partitioned table once its parts span more than ``max_versions``
+        folders (each run adds one), so reads stay a handful of scans."""
+        if self.version_count(table) > max_versions:
+            return self.compact(table, schema)
+        return None
+
     def compact(self, table: str, schema: T.StructType | None = None) -> int:
         """Rewrite a partitioned table into a single version folder."""
         current = self.version(table)
