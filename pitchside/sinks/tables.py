@@ -228,6 +228,7 @@ class TableStore:
         current = self.version(table)
         if not isinstance(current, dict):
             return self.state()["seq"]
+        self._read_versions[table] = current      # a concurrent upsert wins over compaction
         col = current["column"]
         version = self.stage(table, self.read(table, schema), [col])
         return self.commit({table: {"column": col,
