@@ -62,3 +62,18 @@ def test_pushdown_and_pruning(spark):
 def test_dgw_count_is_not_a_row_window(spark):
     p = plan(entry_module().queries()["player_gw_stats"](spark, SF_SMALL), "simple")
     assert "Window" not in p and "partial_count" in p
+
+
+def test_sides_that_grow_with_data_are_not_broadcast(spark):
+    q = entry_module().queries()
+    pgw = plan(q["player_gw_stats"](spark, SF_SMALL), "simple")
+    assert "ShuffledHashJoin" in pgw and "BroadcastHashJoin" not in pgw
+    ups = plan(q["upsert_player_gw"](spark, SF_SMALL), "simple")
+    assert "LeftAnti" in ups and "BroadcastHashJoin LeftAnti" not in ups
+    assert any("ShuffledHashJoin" in line and "LeftAnti" in line for line in ups.splitlines())
+
+
+def test_dimensions_are_broadcast_after_the_check(spark):
+    q = entry_module().queries()
+    p = plan(q["player_info"](spark, SF_SMALL), "simple")
+    assert "BroadcastHashJoin" in p and "region.parquet" in p
