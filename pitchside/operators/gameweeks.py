@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from .. import schemas as SC
 from ..functions.match import dgw_flag
 from .columns import cast_columns, fill_nulls, rename, select_columns
+from .joins import HOT_KEY_ROWS, SALT_BUCKETS, attach_per_key
 
 HISTORY_RENAMES = {"round": "gameweek_id", "element": "player_id", "total_points": "points",
                    "opponent_team": "opponent_id"}
@@ -33,33 +34,6 @@ def value_counts(frame: DataFrame, keys: list[str] = GAME_KEY, name: str = "game
     return frame.filter(cond).groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
 
 
-# A (player, gameweek) with about this many rows or more is split over
-# SALT_BUCKETS tasks when the counts are joined back.  The hot keys are found on
-# a deterministic Bernoulli sample of the key columns that expects
-# SAMPLES_AT_THRESHOLD rows of a key at the threshold; a key is taken as hot at
-# half that.  The sample only decides which keys are split — every row is
-# joined and every count is exact.  Hot keys are collected to plan the split;
-# there are at most about 2 * total_rows / HOT_KEY_ROWS of them, checked below.
-HOT_KEY_ROWS = 1_000_000
-SALT_BUCKETS = 64
-MAX_HOT_KEYS = 10_000
-SAMPLES_AT_THRESHOLD = 200
-SAMPLE_SEED = 17
-
-
-def hot_keys(frame: DataFrame, keys: list[str], hot_key_rows: int) -> list:
-    """Keys holding about ``hot_key_rows`` rows or more (see above)."""
-    fraction = min(1.0, SAMPLES_AT_THRESHOLD / hot_key_rows)
-    min_sampled = max(1, int(hot_key_rows * fraction / 2))
-    sampled = frame.select(*keys).sample(withReplacement=False, fraction=fraction,
-                                         seed=SAMPLE_SEED)
-    hot = value_counts(sampled, keys, "n").filter(F.col("n") >= min_sampled).select(*keys) \
-        .limit(MAX_HOT_KEYS + 1).collect()
-    if len(hot) > MAX_HOT_KEYS:
-        raise ValueError(f"more than {MAX_HOT_KEYS} hot keys; raise hot_key_rows")
-    return [tuple(r) for r in hot]
-
-
 def with_game_count(frame: DataFrame, hot_key_rows: int = HOT_KEY_ROWS,
                     buckets: int = SALT_BUCKETS) -> DataFrame:
     """Attach games per (player, gameweek) to every row, and the DGW flag.
@@ -67,33 +41,12 @@ def with_game_count(frame: DataFrame, hot_key_rows: int = HOT_KEY_ROWS,
     Counted by a keyed aggregation (partial on the map side) and joined back,
     not by a window: a window would pull every row of a hot (player, gameweek)
     into one task.  The counts grow with the data, so they are never broadcast:
-    a shuffled hash join builds on the counts (already partitioned by the key)
-    and streams the rows without sorting them.
-
-    Hot keys are split: a cheap sampled pass (``hot_keys``) finds keys with
-    about ``hot_key_rows`` rows or more; their rows get a salt in [0, buckets)
-    and their count row is repeated once per salt, so one hot key is spread
-    over ``buckets`` join tasks.  Every other key keeps salt 0 and the plain path.
+    a shuffled hash join builds on the counts and streams the rows without
+    sorting them; hot keys are split over salted tasks (``attach_per_key``).
     """
     counts = value_counts(frame)
-    hot = hot_keys(frame, GAME_KEY, hot_key_rows)
-    if not hot:
-        out = frame.join(counts.hint("shuffle_hash"), GAME_KEY, "left")
-    else:
-        spark = frame.sparkSession
-        # proven small: at most MAX_HOT_KEYS rows, collected above
-        hot_df = F.broadcast(spark.createDataFrame(hot, frame.select(*GAME_KEY).schema)
-                             .withColumn("_hot", F.lit(True)))
-        salt = F.pmod(F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in frame.columns]),
-                      F.lit(buckets))
-        rows = frame.join(hot_df, GAME_KEY, "left") \
-            .withColumn("_salt", F.when(F.col("_hot"), salt).otherwise(F.lit(0).cast("bigint")))
-        salted_counts = counts.join(hot_df, GAME_KEY, "left").withColumn(
-            "_salt", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0).cast("bigint"),
-                                                                F.lit(buckets - 1).cast("bigint")))
-                               .otherwise(F.array(F.lit(0).cast("bigint"))))).drop("_hot")
-        out = rows.drop("_hot").join(salted_counts.hint("shuffle_hash"), GAME_KEY + ["_salt"],
-                                     "left").drop("_salt")
+    out = attach_per_key(frame, counts, GAME_KEY, hint="shuffle_hash",
+                         hot_key_rows=hot_key_rows, buckets=buckets)
     return out.withColumn("dgw", F.coalesce(dgw_flag("game_count"), F.lit(False)))
 
 

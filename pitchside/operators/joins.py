@@ -55,3 +55,64 @@ def join_full_outer(frames: list[DataFrame], key: str | list[str], fill=0) -> Da
     out = reduce(lambda l, r: l.join(r, keys, "full"), frames)
     values = [c for c in out.columns if c not in keys]
     return out.na.fill(fill, subset=values) if fill is not None else out
+
+
+# ------------------------------------------------------------ hot keys ----
+# A key with about HOT_KEY_ROWS rows or more is split over SALT_BUCKETS tasks
+# when per-key values are joined back to the rows.  Hot keys are found on a
+# deterministic Bernoulli sample of the key columns that expects
+# SAMPLES_AT_THRESHOLD rows of a key at the threshold; a key is taken as hot at
+# half that.  The sample only decides which keys are split — every row is
+# joined and every value is exact.  Hot keys are collected to plan the split;
+# there are at most about 2 * total_rows / HOT_KEY_ROWS of them, checked below.
+HOT_KEY_ROWS = 1_000_000
+SALT_BUCKETS = 64
+MAX_HOT_KEYS = 10_000
+SAMPLES_AT_THRESHOLD = 200
+SAMPLE_SEED = 17
+
+
+def hot_keys(frame: DataFrame, keys: list[str], hot_key_rows: int = HOT_KEY_ROWS) -> list:
+    """Keys holding about ``hot_key_rows`` rows or more (see above)."""
+    fraction = min(1.0, SAMPLES_AT_THRESHOLD / hot_key_rows)
+    min_sampled = max(1, int(hot_key_rows * fraction / 2))
+    not_null = F.lit(True)
+    for k in keys:
+        not_null = not_null & F.col(k).isNotNull()
+    sampled = frame.select(*keys).filter(not_null) \
+        .sample(withReplacement=False, fraction=fraction, seed=SAMPLE_SEED)
+    hot = sampled.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")) \
+        .filter(F.col("_n") >= min_sampled).select(*keys).limit(MAX_HOT_KEYS + 1).collect()
+    if len(hot) > MAX_HOT_KEYS:
+        raise ValueError(f"more than {MAX_HOT_KEYS} hot keys; raise hot_key_rows")
+    return [tuple(r) for r in hot]
+
+
+def attach_per_key(rows: DataFrame, per_key: DataFrame, keys: list[str], hint: str | None = None,
+                   hot_key_rows: int = HOT_KEY_ROWS, buckets: int = SALT_BUCKETS) -> DataFrame:
+    """Left join of ``rows`` with ``per_key`` (one row per key), hot keys split.
+
+    Rows of a hot key get a salt in [0, buckets) and that key's ``per_key`` row
+    is repeated once per salt, so the key is spread over ``buckets`` join tasks;
+    every other key keeps salt 0.  ``hint`` picks the join strategy of the
+    plain path (e.g. ``"shuffle_hash"`` when ``per_key`` grows with the data).
+    """
+    hot = hot_keys(rows, keys, hot_key_rows)
+    if not hot:
+        return rows.join(per_key.hint(hint) if hint else per_key, keys, "left")
+    spark = rows.sparkSession
+    # proven small: at most MAX_HOT_KEYS rows, collected above
+    hot_df = F.broadcast(spark.createDataFrame(hot, rows.select(*keys).schema)
+                         .withColumn("_hot", F.lit(True)))
+    salt = F.pmod(F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in rows.columns]),
+                  F.lit(buckets))
+    salted_rows = rows.join(hot_df, keys, "left") \
+        .withColumn("_salt", F.when(F.col("_hot"), salt).otherwise(F.lit(0).cast("bigint"))) \
+        .drop("_hot")
+    all_salts = F.sequence(F.lit(0).cast("bigint"), F.lit(buckets - 1).cast("bigint"))
+    salted_keys = per_key.join(hot_df, keys, "left").withColumn(
+        "_salt", F.explode(F.when(F.col("_hot"), all_salts)
+                           .otherwise(F.array(F.lit(0).cast("bigint"))))).drop("_hot")
+    if hint:
+        salted_keys = salted_keys.hint(hint)
+    return salted_rows.join(salted_keys, keys + ["_salt"], "left").drop("_salt")

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from .. import schemas as SC
 from ..functions.match import DRAW, LOSS, WIN, match_points, match_result
 from .columns import rename, scale_columns
-from .joins import dimension_join
+from .joins import HOT_KEY_ROWS, attach_per_key, dimension_join
 
 FIXTURE_RENAMES = {
     "event": "gameweek_id", "team_a": "away_team_id", "team_a_score": "away_team_score",
@@ -167,21 +167,23 @@ def rank_max_window(df: DataFrame, value: str, out: str, partition_by: list[str]
     return df.withColumn(out, F.when(F.col(value).isNotNull(), F.count(F.lit(1)).over(w)))
 
 
-def rank_max(df: DataFrame, value: str, out: str, partition_by: list[str] = ()) -> DataFrame:
+def rank_max(df: DataFrame, value: str, out: str, partition_by: list[str] = (),
+             hot_key_rows: int = HOT_KEY_ROWS) -> DataFrame:
     """Same ranking for inputs of any size.
 
     Rows are first counted per distinct (partition, value) — a partial
     aggregation, so a value held by a third of all rows ships one row per task
     — the running total runs over the distinct values only, and the ranks are
-    joined back.  The joined-back side holds one row per distinct value; AQE
-    broadcasts it at run time when it is small, or splits a skewed key.
+    joined back with ``attach_per_key``: a value held by very many rows is
+    split over salted tasks; otherwise Spark picks the join (AQE broadcasts the
+    rank table at run time when it is measured small).
     """
     keys = [*partition_by, value]
     counts = df.filter(F.col(value).isNotNull()).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     w = Window.partitionBy(*partition_by).orderBy(F.col(value).desc()) \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ranks = counts.select(*keys, F.sum("_n").over(w).alias(out))
-    return df.join(ranks, keys, "left").select(*df.columns, out)
+    return attach_per_key(df, ranks, keys, hot_key_rows=hot_key_rows).select(*df.columns, out)
 
 
 # ------------------------------------------------------------ the table -----

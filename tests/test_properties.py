@@ -95,3 +95,16 @@ def test_hot_key_holds_a_third_of_rows(spark):
     assert len(per_task) > 1
     latest = MG.latest_per_key(df.withColumn("t", F.col("opponent_id")), ["player_id", "gameweek_id"], ["t"])
     assert latest.filter("player_id = 1 and gameweek_id = 1").first().t == 19
+
+
+def test_rank_with_a_hot_value_matches_the_window_form(spark):
+    # a third of the rows share one points value; the join-back splits it
+    df = spark.range(9_000).select(
+        F.col("id"), (F.col("id") % 3).alias("team"),
+        F.when(F.col("id") % 3 == 0, F.lit(10)).otherwise(F.col("id") % 50).alias("pts"))
+    a = ST.rank_max(df, "pts", "r", hot_key_rows=500)
+    b = ST.rank_max_window(df, "pts", "r")
+    assert a.count() == 9_000 and a.exceptAll(b).count() == 0
+    a2 = ST.rank_max(df, "pts", "r", ["team"], hot_key_rows=500)
+    b2 = ST.rank_max_window(df, "pts", "r", ["team"])
+    assert a2.exceptAll(b2).count() == 0 and b2.exceptAll(a2).count() == 0
