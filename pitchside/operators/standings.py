@@ -195,24 +195,34 @@ def team_strength(teams: DataFrame) -> DataFrame:
         "team_id", "team_name", "strength", *SC.STRENGTH_COLUMNS)
 
 
-def league_table(fixtures: DataFrame, teams: DataFrame) -> DataFrame:
+def league_table(fixtures: DataFrame, teams: DataFrame, rank: str = "window") -> DataFrame:
     """The ``team_info`` table (32 columns) from scanned fixtures and teams.
 
     A team is listed when it has at least one home fixture, one away fixture and
     one decided result, and is in the team dimension.  The position is ranked
     over all qualifying teams before the dimension join.  ``finished`` is not
     consulted: a match in progress counts with its current score.
+
+    ``rank="window"`` ranks the per-team rows in one window (one partition
+    holding one row per team — a league has tens of teams);
+    ``rank="distinct"`` uses ``rank_max`` (running total over distinct point
+    totals, joined back), for inputs with very many team ids.
     """
-    return league_from_scored(score_fixtures(fixture_frame(fixtures)), teams)
+    return league_from_scored(score_fixtures(fixture_frame(fixtures)), teams, rank)
 
 
-def league_from_scored(scored: DataFrame, teams: DataFrame) -> DataFrame:
+def league_from_scored(scored: DataFrame, teams: DataFrame, rank: str = "window") -> DataFrame:
     """The league table from scored fixture rows (e.g. a stored ``fixture_info``)."""
     agg = team_aggregate(team_sides(scored)) \
         .filter(_played_both_ways() & (F.col("decided_games") > 0))
     table = _goal_totals(_result_totals(agg)).selectExpr(
         "*", "home_points + away_points as total_points")
-    ranked = rank_max_window(table, "total_points", "league_position")
+    if rank == "window":
+        ranked = rank_max_window(table, "total_points", "league_position")
+    elif rank == "distinct":
+        ranked = rank_max(table, "total_points", "league_position")
+    else:
+        raise ValueError(f"unknown rank method: {rank}")
     joined = dimension_join(ranked, team_strength(teams), "team_id", "inner")
     return joined.select(*SC.names(SC.TEAM_INFO))
 

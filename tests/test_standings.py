@@ -158,3 +158,11 @@ def test_dimension_bound_is_recounted_when_files_change(spark, scratch):
     assert has_at_most(spark.read.parquet(folder), 5)
     spark.range(5).write.mode("append").parquet(folder)
     assert not has_at_most(spark.read.parquet(folder), 5)
+
+
+def test_league_rank_methods_agree(spark):
+    from pitchside.plans.queries import _fixtures, _teams
+    d = "/root/testdata/sf0.01"
+    a = ST.league_table(_fixtures(spark, d), _teams(spark, d), rank="window")
+    b = ST.league_table(_fixtures(spark, d), _teams(spark, d), rank="distinct")
+    assert a.count() == 25 and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
