@@ -24,6 +24,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import ensure_checkpoint_dir
+
 
 def flat_for_csv(df: DataFrame) -> DataFrame:
     nested = (T.ArrayType, T.StructType, T.MapType)
@@ -57,6 +59,7 @@ def with_row_index(df: DataFrame, order_by: list[str], name: str = "index") -> D
     range-partitioned frame is checkpointed (to the shared checkpoint folder)
     so that the counts and the numbering see the same partitions.
     """
+    ensure_checkpoint_dir(df.sparkSession)
     ordered = df.repartitionByRange(*order_by).sortWithinPartitions(*order_by)
     part = ordered.withColumn("_pid", F.spark_partition_id()).checkpoint(eager=True)
     counts = part.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
