@@ -77,3 +77,11 @@ def test_dimensions_are_broadcast_after_the_check(spark):
     q = entry_module().queries()
     p = plan(q["player_info"](spark, SF_SMALL), "simple")
     assert "BroadcastHashJoin" in p and "region.parquet" in p
+
+
+def test_schemas_do_not_depend_on_the_data(spark):
+    q = entry_module().queries()
+    for name, fn in q.items():
+        a = fn(spark, SF_SMALL).schema
+        b = fn(spark, "/root/testdata/sf0.01").schema
+        assert a == b, name
