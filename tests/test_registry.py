@@ -38,7 +38,7 @@ def test_entry_smoke(spark):
     assert len(df.columns) == 32 and df.count() == 25
 
 
-@pytest.mark.parametrize("name", sorted(entry_module().queries()))
+@pytest.mark.parametrize("name", sorted(entry_module()._queries()))
 def test_no_python_in_plans(spark, name):
     p = plan(entry_module().queries()[name](spark, SF_SMALL), "simple")
     assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p
@@ -64,7 +64,7 @@ def test_dgw_count_is_not_a_row_window(spark):
 
 
 def test_sides_that_grow_with_data_are_not_broadcast(spark):
-    q = entry_module().queries()
+    q = entry_module()._queries()
     pgw = plan(q["player_gw_stats"](spark, SF_SMALL), "simple")
     assert "ShuffledHashJoin" in pgw and "BroadcastHashJoin" not in pgw
     ups = plan(q["upsert_player_gw"](spark, SF_SMALL), "simple")
@@ -73,13 +73,13 @@ def test_sides_that_grow_with_data_are_not_broadcast(spark):
 
 
 def test_dimensions_are_broadcast_after_the_check(spark):
-    q = entry_module().queries()
+    q = entry_module()._queries()
     p = plan(q["player_info"](spark, SF_SMALL), "simple")
     assert "BroadcastHashJoin" in p and "region.parquet" in p
 
 
 def test_schemas_do_not_depend_on_the_data(spark):
-    q = entry_module().queries()
+    q = entry_module()._queries()
     for name, fn in q.items():
         a = fn(spark, SF_SMALL).schema
         b = fn(spark, "/root/testdata/sf0.01").schema
