@@ -7,18 +7,31 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import mixing
 from .common import held_out, table
+from .sharding import shard_documents
 from .simhash import simhash_components
 
 
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = shard_documents(table(spark, sf_dir, "documents"), shards=16, keep=["doc_id"])
+    return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                      F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = mixing.mix_to_weights(table(spark, sf_dir, "documents"), weights=(1, 2, 3), most=3)
+    return out.select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = simhash_components(table(spark, sf_dir, "documents"), words=3, max_bits=3)
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op10_simhash_near_dedup,)}
+    return {f.__name__: f for f in (op5_sharding, op9_mixing, op10_simhash_near_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op9_mixing": mixing.ORACLE_SQL}
