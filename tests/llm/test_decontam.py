@@ -1,0 +1,104 @@
+import random
+
+import numpy as np
+import pytest
+from helpers import docs_frame, prose
+
+from pitchside.llm import decontam as D
+
+
+def brute_edits(item, text):
+    """Least edits of ``item`` against any substring of ``text``."""
+    row = [0] * (len(text) + 1)
+    for j, c in enumerate(item, 1):
+        new = [j]
+        for i, d in enumerate(text, 1):
+            new.append(min(row[i - 1] + (c != d), row[i] + 1, new[-1] + 1))
+        row = new
+    return min(row)
+
+
+def edited(rng, text, n):
+    s = list(text)
+    for _ in range(n):
+        p = rng.randrange(len(s))
+        kind = rng.randrange(3)
+        if kind == 0:
+            s[p] = rng.choice("xyzé")
+        elif kind == 1:
+            del s[p]
+        else:
+            s.insert(p, rng.choice("xyzé"))
+    return "".join(s)
+
+
+def case(rng, n_items=6, n_docs=80):
+    items = [(i, prose(rng, rng.randint(8, 40))) for i in range(n_items)]
+    docs = []
+    for d in range(n_docs):
+        text = prose(rng, rng.randint(0, 60))
+        if d % 2:
+            _, t = rng.choice(items)
+            text += " " + edited(rng, t, rng.randint(0, max(1, len(t) // 8))) + "\n " + prose(rng, rng.randint(0, 30))
+        docs.append((d, text))
+    return items, docs
+
+
+@pytest.mark.parametrize("limits", [(D.PIECE, D.HITS), (300, 200)])
+def test_matches_brute_force(monkeypatch, limits):
+    monkeypatch.setattr(D, "PIECE", limits[0])
+    monkeypatch.setattr(D, "HITS", limits[1])
+    rng = random.Random(7)
+    items, docs = case(rng)
+    ix = D.ItemIndex(items)
+    got = {(r, ix.ids[t]): e for r, t, e, _, _ in D.search(ix, [t for _, t in docs])}
+    want = {}
+    for r, (_, text) in enumerate(docs):
+        for t, item in enumerate(ix.texts):
+            e = brute_edits(item, D.normal(text))
+            if e <= ix.k[t]:
+                want[r, ix.ids[t]] = e
+    assert got == want and 20 < len(want)
+    assert {e > 0 for e in want.values()} == {True, False}
+
+
+def test_regions_hold_the_match():
+    rng = random.Random(8)
+    items, docs = case(rng)
+    ix = D.ItemIndex(items)
+    for r, t, e, s, z in D.search(ix, [t for _, t in docs]):
+        assert brute_edits(ix.texts[t], D.normal(docs[r][1])[s:z]) == e
+
+
+def test_grams_are_window_hashes():
+    codes = D._codes("the quick brown fox the quick brown")
+    for q in (1, 3, 8, 10, 13):
+        h = D._grams(codes, q)
+        assert len(h) == len(codes) - q + 1
+        same = {}
+        for i in range(len(h)):
+            assert same.setdefault(bytes(codes[i:i + q]), h[i]) == h[i]
+        assert len(same) == len(np.unique(h))
+
+
+def test_frames_blocks_and_edges(spark, monkeypatch):
+    rng = random.Random(9)
+    items, docs = case(rng)
+    docs += [(500, None), (501, ""), (None, "pre " + items[0][1]), (502, items[1][1].upper()), (502, items[1][1].upper()),
+             (503, "a" * 30000)]
+    items += [(90, None), (91, ""), (92, "short"), (93, items[2][1]), (94, "a" * 200)]
+    df = docs_frame(spark, docs, "text as item_id;1 as edits")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    one = sorted(map(str, D.find_leaks(df, bench).collect()))
+    monkeypatch.setattr(D, "BLOCK_CHARS", 300)
+    leaks = D.find_leaks(df, bench).collect()
+    assert sorted(map(str, leaks)) == one
+    assert sum(r.doc_id == 502 and r.item_id == 1 for r in leaks) == 2
+    assert any(r.doc_id is None for r in leaks) and any(r.doc_id == 503 and r.item_id == 94 for r in leaks)
+    bad = {r.doc_id for r in leaks}
+    clean = D.decontaminate(df, bench)
+    assert clean.schema == df.schema
+    assert sorted(r.doc_id for r in clean.collect()) == sorted(d for d, _ in docs if d not in bad)
+    none = bench.where("false")
+    assert D.find_leaks(df, none).collect() == [] and D.decontaminate(df, none).count() == len(docs)
+    assert D.find_leaks(df.where("false"), bench).collect() == []
