@@ -12,12 +12,19 @@ from .common import held_out, table
 from .decontam import find_leaks
 from .sharding import shard_documents
 from .simhash import simhash_components
+from .toxicity import score_documents
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ~held_out("doc_id", 5, 0))
+    return out.select("doc_id", held_out("doc_id", 5, 0).alias("held_out"), "score",
+                      (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = shard_documents(table(spark, sf_dir, "documents"), shards=16, keep=["doc_id"])
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
@@ -35,7 +42,7 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_decontamination, op5_sharding, op9_mixing, op10_simhash_near_dedup)}
+    return {f.__name__: f for f in (op1_decontamination, op3_toxicity, op5_sharding, op9_mixing, op10_simhash_near_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:

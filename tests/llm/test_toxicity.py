@@ -1,0 +1,82 @@
+import random
+
+import numpy as np
+from helpers import docs_frame, prose
+from pyspark.sql import functions as F
+
+from pitchside.llm import toxicity as T
+from pitchside.llm.common import held_out
+
+BAD = ["vrakkel", "smodder", "zwetser"]
+
+
+def corpus(rng, n, bad=BAD):
+    rows = []
+    for i in range(n):
+        w = prose(rng, rng.randint(3, 120)).split()
+        toxic = int(rng.random() < 0.3)
+        for _ in range(toxic * rng.randint(1, 3)):
+            w.insert(rng.randrange(len(w) + 1), rng.choice(bad) + rng.choice(["", ",", "."]))
+        rows.append((i, " ".join(w), toxic))
+    return rows
+
+
+def test_held_out_accuracy_and_misspellings():
+    rng = random.Random(1)
+    model = T.train([(t, y) for _, t, y in corpus(rng, 700)])
+    score = T.Scorer(model)
+    test = corpus(rng, 400)
+    p = score([t for _, t, _ in test])
+    assert np.mean((p >= 0.5) == [y for _, _, y in test]) > 0.98
+    clean = prose(rng, 40)
+    base, seen, near = score.worst([clean, clean + " vrakkel", clean + " vrakkels"])
+    assert seen > near > base
+
+
+def test_subwords_are_shared_and_aligned():
+    ids, at = T._subwords(["abcd", "", "xabcd", "é"])
+    parts = [set(ids[s:e]) for s, e in zip(at, at[1:])]
+    assert len(parts) == 4 and len(parts[0] & parts[2]) >= 5 and all(parts)
+    again, _ = T._subwords(["abcd"])
+    assert set(again) == parts[0]
+
+
+def test_windows_cover_every_word():
+    for n in range(1, 60):
+        s, e = T._spans(n)
+        s, e = s[s < n], e[s < n]
+        assert set(range(n)) == {i for a, b in zip(s, e) for i in range(a, b)}
+
+
+def frame(spark, rows, labels):
+    docs = docs_frame(spark, rows, "text as score;1 as toxic")
+    return docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+
+
+def test_frames_and_edges(spark):
+    rng = random.Random(2)
+    rows = corpus(rng, 300)
+    labels = [(i, 1, y) for i, _, y in rows if i % 3] + [(999, 1, 1), (None, 1, 1), (3, None, None), (4, 1, 1), (4, 1, 0)]
+    texts = [(i, t) for i, t, _ in rows] + [(500, None), (501, ""), (502, " \n"), (None, "x y"), (503, "a " * 40000), (1, "the")]
+    docs, lab = frame(spark, texts, labels)
+    usable = ~held_out("doc_id", 5, 0)
+    out = T.score_documents(docs, lab, usable).collect()
+    assert len(out) == len(texts) and all(0 <= r.score <= 1 for r in out)
+    held = {r.doc_id for r in docs.where(held_out("doc_id", 5, 0)).collect()}
+    truth = {i: y for i, _, y in rows}
+    right = [(r.score >= 0.5) == truth[r.doc_id] for r in out if r.doc_id in held and r.doc_id in truth and r.doc_id != 1]
+    assert len(right) > 30 and np.mean(right) > 0.95
+    kept = T.clean_documents(docs, docs, lab, usable)
+    assert kept.schema == docs.schema
+    assert kept.count() == sum(r.score < 0.5 for r in out)
+    # the held-out labels are never learnt from
+    flipped = lab.withColumn("toxic", F.when(held_out("doc_id", 5, 0), 1 - F.col("toxic")).otherwise(F.col("toxic")))
+    assert sorted(map(str, T.score_documents(docs, flipped, usable).collect())) == sorted(map(str, out))
+
+
+def test_no_labels_one_class_and_no_rows(spark):
+    docs, lab = frame(spark, [(1, "a b"), (2, None)], [(1, 1, 1), (2, 1, 0)])
+    assert [r.score < 0.01 for r in T.score_documents(docs, lab.where("false")).collect()] == [True, True]
+    assert [r.score > 0.99 for r in T.score_documents(docs, lab.where("toxic = 1")).collect()] == [True, True]
+    assert T.score_documents(docs.where("false"), lab).collect() == []
+    assert T.clean_documents(docs, docs, lab.where("false")).count() == 2
