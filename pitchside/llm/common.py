@@ -207,3 +207,43 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         seen = now
     ends = e.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return ends.unionByName(ends.select(F.col("root").alias("node"), "root").distinct())
+
+
+class KeyTable:
+    """Position of 64-bit keys among ``keys`` (distinct), by an open hash table in numpy."""
+
+    EMPTY = np.uint64((1 << 64) - 1)
+
+    def __init__(self, keys: np.ndarray):
+        keys = keys.astype(np.uint64)
+        bits = max(4, int(max(len(keys), 1)).bit_length() + 1)
+        self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
+        self.slot_key = np.full(1 << bits, self.EMPTY)
+        self.slot_at = np.full(1 << bits, -1, np.int32)
+        left, slot = np.arange(len(keys), dtype=np.int32), self._slot(keys)
+        while len(left):
+            free = self.slot_at[slot] < 0
+            self.slot_at[slot[free]] = left[free]
+            lost = self.slot_at[slot] != left
+            left, slot = left[lost], (slot[lost] + 1) & self.mask
+        full = self.slot_at >= 0
+        self.slot_key[full] = keys[self.slot_at[full]]
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The position of every key, -1 where it is none of them."""
+        slot = self._slot(keys)
+        there = self.slot_key[slot]
+        out = np.where(there == keys, self.slot_at[slot], np.int32(-1))
+        left = np.flatnonzero((there != keys) & (there != self.EMPTY))
+        slot = slot[left]
+        while len(left):
+            slot = (slot + 1) & self.mask
+            there = self.slot_key[slot]
+            hit = there == keys[left]
+            out[left[hit]] = self.slot_at[slot[hit]]
+            on = ~hit & (there != self.EMPTY)
+            left, slot = left[on], slot[on]
+        return out

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from . import mixing
 from .common import held_out, table
 from .decontam import find_leaks
+from .langid import identify_documents
 from .sharding import shard_documents
 from .simhash import simhash_components
 from .toxicity import score_documents
@@ -31,6 +32,11 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = identify_documents(table(spark, sf_dir, "documents"), ~held_out("doc_id", 4, 2))
+    return out.select("doc_id", held_out("doc_id", 4, 2).alias("held_out"), "lang_pred", "score")
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = mixing.mix_to_weights(table(spark, sf_dir, "documents"), weights=(1, 2, 3), most=3)
     return out.select("doc_id", "size", "source_size", "target", "taken")
@@ -42,7 +48,7 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_decontamination, op3_toxicity, op5_sharding, op9_mixing, op10_simhash_near_dedup)}
+    return {f.__name__: f for f in (op1_decontamination, op3_toxicity, op5_sharding, op6_language_id, op9_mixing, op10_simhash_near_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
