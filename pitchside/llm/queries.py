@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing
+from . import mixing, ppm
 from .common import held_out, table
 from .decontam import find_leaks
 from .langid import identify_documents
@@ -37,6 +37,11 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", held_out("doc_id", 4, 2).alias("held_out"), "lang_pred", "score")
 
 
+def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = ppm.score_documents(table(spark, sf_dir, "documents"), held_out("doc_id", 7, 2))
+    return out.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = mixing.mix_to_weights(table(spark, sf_dir, "documents"), weights=(1, 2, 3), most=3)
     return out.select("doc_id", "size", "source_size", "target", "taken")
@@ -48,7 +53,7 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_decontamination, op3_toxicity, op5_sharding, op6_language_id, op9_mixing, op10_simhash_near_dedup)}
+    return {f.__name__: f for f in (op1_decontamination, op3_toxicity, op5_sharding, op6_language_id, op7_lm_scoring, op9_mixing, op10_simhash_near_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
