@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from . import mixing, ppm
 from .common import held_out, table
 from .decontam import find_leaks
+from .embed_dedup import embedding_components
 from .langid import identify_documents
 from .sharding import shard_documents
 from .simhash import simhash_components
@@ -42,6 +43,10 @@ def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_components(table(spark, sf_dir, "embeddings"), least=0.98)
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = mixing.mix_to_weights(table(spark, sf_dir, "documents"), weights=(1, 2, 3), most=3)
     return out.select("doc_id", "size", "source_size", "target", "taken")
@@ -53,7 +58,8 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_decontamination, op3_toxicity, op5_sharding, op6_language_id, op7_lm_scoring, op9_mixing, op10_simhash_near_dedup)}
+    return {f.__name__: f for f in (op1_decontamination, op3_toxicity, op5_sharding, op6_language_id, op7_lm_scoring, op8_embedding_near_dedup,
+                                       op9_mixing, op10_simhash_near_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
