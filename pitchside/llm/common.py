@@ -22,6 +22,8 @@ from ..session import ensure_checkpoint_dir
 #: Ranges per partition in :func:`running_total`; a hash-random key fills them evenly.
 BINS = 4096
 
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 SPACE = re.compile(rb"[\x20\x09-\x0d]")
 
 
@@ -36,7 +38,12 @@ def saved(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/pitchside-{uuid.uuid4().hex}/{label}"
-    df.write.parquet(path)
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")  # the written table replaces the shuffle files
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(SHUFFLE_CLEANUP) if before is None else spark.conf.set(SHUFFLE_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -247,3 +254,28 @@ class KeyTable:
             on = ~hit & (there != self.EMPTY)
             left, slot = left[on], slot[on]
         return out
+
+
+def code_points(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+
+
+def gram_hashes(codes: np.ndarray, q: int) -> np.ndarray:
+    """Rolling hash of every window of ``q`` characters, by doubling."""
+    if len(codes) < q:
+        return np.zeros(0, np.uint64)
+    part, size, power = codes.astype(np.uint64), 1, 0x9E3779B97F4A7C15  # power: base ** size
+    out, done = None, 0
+    while True:
+        if q & size:
+            if out is None:
+                out, done = part, size
+            else:
+                n = len(codes) - done - size + 1
+                out = out[:n] * np.uint64(power) + part[done:done + n]
+                done += size
+        if done == q:
+            return out
+        n = len(part) - size
+        part = part[:n] * np.uint64(power) + part[size:size + n]
+        size, power = 2 * size, power * power % (1 << 64)

@@ -32,6 +32,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import code_points as _codes
+from .common import gram_hashes as _grams
+
 Q = 10
 RATE = 0.08
 BLOCK_CHARS = 4_000_000
@@ -39,7 +42,6 @@ BLOCK_CHARS = 4_000_000
 PIECE = 1_000_000
 HITS = 4_000_000
 
-_BASE = 0x9E3779B97F4A7C15
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 _BITS = 20
 _OUTSIDE = 0x110000  # no character
@@ -49,31 +51,6 @@ def normal(text: str | None) -> str:
     return " ".join(text.lower().split()) if text else ""
 
 
-def _codes(text: str) -> np.ndarray:
-    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-
-
-def _grams(codes: np.ndarray, q: int) -> np.ndarray:
-    """Rolling hash of every window of ``q`` characters, by doubling."""
-    if len(codes) < q:
-        return np.zeros(0, np.uint64)
-    part, size, power = codes.astype(np.uint64), 1, _BASE  # power: base ** size
-    out, done = None, 0
-    while True:
-        if q & size:
-            if out is None:
-                out, done = part, size
-            else:
-                n = len(codes) - done - size + 1
-                out = out[:n] * np.uint64(power) + part[done:done + n]
-                done += size
-        if done == q:
-            return out
-        n = len(part) - size
-        part = part[:n] * np.uint64(power) + part[size:size + n]
-        size, power = 2 * size, power * power % (1 << 64)
-
-
 class ItemIndex:
     """The q-grams of a block of items: [(item_id, text)]."""
 

@@ -12,6 +12,7 @@ from .common import held_out, table
 from .decontam import find_leaks
 from .embed_dedup import embedding_components
 from .langid import identify_documents
+from .line_dedup import line_report
 from .sharding import shard_documents
 from .simhash import simhash_components
 from .toxicity import score_documents
@@ -21,6 +22,10 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_report(table(spark, sf_dir, "documents"), least=0.8)
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ~held_out("doc_id", 5, 0))
     return out.select("doc_id", held_out("doc_id", 5, 0).alias("held_out"), "score",
@@ -58,7 +63,7 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_decontamination, op3_toxicity, op5_sharding, op6_language_id, op7_lm_scoring, op8_embedding_near_dedup,
+    return {f.__name__: f for f in (op1_decontamination, op2_line_dedup, op3_toxicity, op5_sharding, op6_language_id, op7_lm_scoring, op8_embedding_near_dedup,
                                        op9_mixing, op10_simhash_near_dedup)}
 
 
