@@ -14,8 +14,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import ensure_checkpoint_dir
 
@@ -279,3 +281,29 @@ def gram_hashes(codes: np.ndarray, q: int) -> np.ndarray:
         n = len(part) - size
         part = part[:n] * np.uint64(power) + part[size:size + n]
         size, power = 2 * size, power * power % (1 << 64)
+
+
+def sorted_totals(df: DataFrame, keys: list[str], weights: list[str]) -> DataFrame:
+    """Rows of ``df`` (distinct in ``keys``) with ``before_<w>``: the total of each weight over
+    all rows of smaller ``keys``.
+
+    A range sort, a running count inside each partition, and the partitions' offsets:
+    one row per partition, so at most ``spark.sql.shuffle.partitions`` rows are broadcast.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pid, total = TaskContext.get().partitionId(), dict.fromkeys(weights, 0)
+        for b in batches:
+            out = [pa.array(np.full(b.num_rows, pid, np.int32))]
+            for w in weights:
+                v = b.column(w).to_numpy()
+                out.append(pa.array(total[w] + np.cumsum(v) - v))
+                total[w] += int(v.sum())
+            yield pa.RecordBatch.from_arrays([*b.columns, *out], [*b.schema.names, "__pid", *(f"__{w}" for w in weights)])
+
+    schema = T.StructType([*df.schema.fields, T.StructField("__pid", T.IntegerType()), *(T.StructField(f"__{w}", T.LongType()) for w in weights)])
+    rows = saved(df.repartitionByRange(*keys).sortWithinPartitions(*keys).mapInArrow(run, schema), "sorted")
+    above = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    sums = rows.groupBy("__pid").agg(*[F.sum(w).alias(f"__sum_{w}") for w in weights]).select(
+        "__pid", *[F.coalesce(F.sum(f"__sum_{w}").over(above), F.lit(0)).alias(f"__off_{w}") for w in weights])
+    return rows.join(F.broadcast(sums), "__pid").select(
+        *df.columns, *[(F.col(f"__off_{w}") + F.col(f"__{w}")).alias(f"before_{w}") for w in weights])

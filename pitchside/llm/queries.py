@@ -15,6 +15,7 @@ from .langid import identify_documents
 from .line_dedup import line_report
 from .sharding import shard_documents
 from .simhash import simhash_components
+from .suffix_dedup import removed_bytes
 from .toxicity import score_documents
 
 
@@ -32,6 +33,10 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                       (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return removed_bytes(table(spark, sf_dir, "documents"), length=400)
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = shard_documents(table(spark, sf_dir, "documents"), shards=16, keep=["doc_id"])
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
@@ -63,8 +68,9 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_decontamination, op2_line_dedup, op3_toxicity, op5_sharding, op6_language_id, op7_lm_scoring, op8_embedding_near_dedup,
-                                       op9_mixing, op10_simhash_near_dedup)}
+    return {f.__name__: f for f in (
+        op1_decontamination, op2_line_dedup, op3_toxicity, op4_suffix_array_dedup, op5_sharding, op6_language_id,
+        op7_lm_scoring, op8_embedding_near_dedup, op9_mixing, op10_simhash_near_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
