@@ -200,16 +200,17 @@ class Trie:
 def _asked(order: int):
     """Documents sorted by chunk -> the distinct (chunk, kind, key) of each chunk."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, strings, words = None, [], set()
+        now, strings, words, held = None, [], set(), 0
         for b in batches:
             for chunk, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 if chunk != now:
                     yield from keys(now, strings, words)
-                    now, strings, words = chunk, [], set()
+                    now, strings, words, held = chunk, [], set(), 0
                 for g in string_pieces(text or b"", order):
                     strings.append(g)
-                if sum(map(len, strings)) > 4 * PIECE:
-                    strings = [np.unique(np.concatenate(strings))]
+                    held += len(g)
+                if held > 4 * PIECE:
+                    strings, held = [np.unique(np.concatenate(strings))], 0
                 for some in word_lists(text or b""):
                     words.update(some)
         yield from keys(now, strings, words)
@@ -240,12 +241,14 @@ def _score(order: int, log_base: float, end_count: int):
         counts = dict(zip(key[kind == WORD].tolist(), values[kind == WORD, 0].tolist()))
         trie = Trie(kind, key.view(np.uint64), values, order)
         texts = [t or b"" for t in docs.column("text").to_pylist()]
-        strings = np.zeros(0, np.uint64)
+        strings, held = np.zeros(0, np.uint64), 0
         some: list[np.ndarray] = []
         for t in texts:
-            some += string_pieces(t, order)
-            if sum(map(len, some)) > 4 * PIECE:
-                strings, some = np.unique(np.concatenate([strings, *some])), []
+            for g in string_pieces(t, order):
+                some.append(g)
+                held += len(g)
+            if held > 4 * PIECE:
+                strings, some, held = np.unique(np.concatenate([strings, *some])), [], 0
         strings = np.unique(np.concatenate([strings, *some]))
         table, cost = KeyTable(strings), trie.log10(strings)
         known: dict[bytes, float] = {}
@@ -253,8 +256,9 @@ def _score(order: int, log_base: float, end_count: int):
         for t in texts:
             n, hits, base = 1, int(end_count > 0), np.log10(end_count + 1)
             for words in word_lists(t):
-                for w in set(words) - known.keys():
-                    known[w] = counts.get(word_key(w), 0.0)
+                for w in set(words):
+                    if w not in known:
+                        known[w] = counts.get(word_key(w), 0.0)
                 c = np.fromiter(map(known.__getitem__, words), float, len(words))
                 n, hits, base = n + len(words), hits + int((c > 0).sum()), base + np.log10(c + 1).sum()
             out["n_tokens"].append(n)
