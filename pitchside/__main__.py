@@ -18,9 +18,12 @@ from pyspark.sql import SparkSession
 
 from .plans.jobs import Landing, fixture_job, gameweek_job, player_gw_job, player_job
 from .session import RECOMMENDED_CONF, local_session
+from .sinks.jdbc import publish
 from .sinks.tables import TableStore
 
-JOBS = ("fixtures", "players", "player-gw", "gameweeks")
+TABLES = {"fixtures": ["fixture_info", "team_info"], "players": ["player_info"],
+          "player-gw": ["player_gw_stats"], "gameweeks": ["gw_stats"]}
+JOBS = tuple(TABLES)
 
 
 def main(argv: list[str] | None = None) -> dict:
@@ -36,6 +39,10 @@ def main(argv: list[str] | None = None) -> dict:
     ap.add_argument("--strict", action="store_true", help="bad values raise instead of null")
     ap.add_argument("--on-duplicate", choices=("error", "latest"), default="error",
                     help="two games of a player against one opponent in one gameweek")
+    ap.add_argument("--gameweeks", type=int, nargs=2, metavar=("FIRST", "LAST"), help="bounds of the fixture pages")
+    ap.add_argument("--players", type=int, nargs=2, metavar=("FIRST", "LAST"), help="bounds of the player pages")
+    ap.add_argument("--jdbc", metavar="URL", help="also replace the tables of this database")
+    ap.add_argument("--jdbc-option", action="append", default=[], metavar="KEY=VALUE", help="user, driver, ...")
     ap.add_argument("--local", type=int, metavar="CPUS", help="run on a local session")
     args = ap.parse_args(argv)
 
@@ -53,14 +60,18 @@ def main(argv: list[str] | None = None) -> dict:
     done = {}
     for job in todo:
         if job == "fixtures":
-            done[job] = fixture_job(spark, landing, store, args.date, args.csv)
+            done[job] = fixture_job(spark, landing, store, args.date, args.csv,
+                                    gameweeks=tuple(args.gameweeks) if args.gameweeks else None)
         elif job == "players":
             done[job] = player_job(spark, landing, store, args.date, args.csv)
         elif job == "player-gw":
             done[job] = player_gw_job(spark, landing, store, args.date, args.csv,
+                                      players=tuple(args.players) if args.players else None,
                                       on_duplicate=args.on_duplicate)
         elif job == "gameweeks":
             done[job] = gameweek_job(spark, landing, store, args.csv)
+        if args.jdbc:
+            publish(store, TABLES[job], args.jdbc, dict(o.split("=", 1) for o in args.jdbc_option))
     print(json.dumps({"commits": done, "tables": store.state()["tables"]}, default=str))
     return done
 

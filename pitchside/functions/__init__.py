@@ -1,4 +1,3 @@
-from .match import dgw_flag, match_points, match_result, bool_label
-from .casts import convert
+from .match import dgw_flag, match_points, match_result
 
-__all__ = ["dgw_flag", "match_points", "match_result", "bool_label", "convert"]
+__all__ = ["dgw_flag", "match_points", "match_result"]

@@ -11,8 +11,6 @@ Python→JVM calls per column; the plan is the same.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -33,8 +31,11 @@ def convert_expr(name: str, source: T.DataType | None, target: T.DataType,
     if source == target:
         return c
     if isinstance(target, T.TimestampNTZType) and isinstance(source, T.StringType):
+        # UTC wall-clock time in any session zone; text without a zone is UTC already
         fn = "to_timestamp" if strict else "try_to_timestamp"
-        return f"cast({fn}({c}) as {t})"
+        zoned = (f"case when {c} rlike '(Z|[+-][0-9]{{2}}:?[0-9]{{2}})$' then {c} "
+                 f"when length({c}) = 10 then concat({c}, 'T00:00:00Z') else concat({c}, 'Z') end")
+        return f"timestampadd(MICROSECOND, unix_micros({fn}({zoned})), timestamp_ntz'1970-01-01 00:00:00')"
     if isinstance(target, T.StringType) and isinstance(source, T.BooleanType):
         return f"initcap(cast({c} as string))"
     if isinstance(target, T.BooleanType) and isinstance(source, T.StringType):
@@ -44,8 +45,3 @@ def convert_expr(name: str, source: T.DataType | None, target: T.DataType,
         return (f"case when {c} is null then cast(null as boolean) when {low} = 'true' then true "
                 f"when {low} = 'false' then false else {bad} end")
     return f"{'cast' if strict else 'try_cast'}({c} as {t})"
-
-
-def convert(name: str, source: T.DataType | None, target: T.DataType,
-            strict: bool = False) -> Column:
-    return F.expr(convert_expr(name, source, target, strict))

@@ -47,9 +47,3 @@ def dgw_flag(game_count: Column | str) -> Column:
     """Double gameweek: more than one game for the player in the gameweek."""
     c = F.col(game_count) if isinstance(game_count, str) else game_count
     return c > 1
-
-
-def bool_label(flag: Column | str) -> Column:
-    """Boolean as the text 'True' / 'False' (null stays null)."""
-    c = F.col(flag) if isinstance(flag, str) else flag
-    return F.initcap(c.cast("string"))

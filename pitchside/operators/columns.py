@@ -36,13 +36,6 @@ def cast_columns(df: DataFrame, types: dict[str, T.DataType], strict: bool = Fal
     return df.selectExpr(*exprs)
 
 
-def cast_to_schema(df: DataFrame, schema: T.StructType, strict: bool = False) -> DataFrame:
-    """Declared order and types; every declared column must exist."""
-    select_columns(df, [f.name for f in schema.fields])
-    return cast_columns(df, {f.name: f.dataType for f in schema.fields}, strict) \
-        .select(*[f.name for f in schema.fields])
-
-
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
            T.DoubleType, T.DecimalType)
 

@@ -45,7 +45,7 @@ def with_game_count(frame: DataFrame, hot_key_rows: int = HOT_KEY_ROWS,
     sorting them; hot keys are split over salted tasks (``attach_per_key``).
     """
     counts = value_counts(frame)
-    out = attach_per_key(frame, counts, GAME_KEY, hint="shuffle_hash",
+    out = attach_per_key(frame, counts, GAME_KEY, "game_count", hint="shuffle_hash",
                          hot_key_rows=hot_key_rows, buckets=buckets)
     return out.withColumn("dgw", F.coalesce(dgw_flag("game_count"), F.lit(False)))
 

@@ -1,47 +1,22 @@
 """Join operators.
 
-Broadcast policy: a side is broadcast only behind a size check.
-``dimension_join`` proves a row bound with ``limit(n + 1).count()`` — a job that
-stops reading as soon as the bound is passed — and otherwise leaves the strategy
-to Spark (sort-merge, re-planned at run time by AQE, which also turns a join
-into a broadcast join when a shuffled side turns out small and splits skewed
-partitions).  Derived small sides (aggregates) are left to AQE's run-time check
-so they are not computed twice.
+Broadcast policy: nothing is forced.  Spark broadcasts a side whose size in bytes
+is known to be under ``spark.sql.autoBroadcastJoinThreshold`` (file sizes, or the
+measured size of a shuffled side at run time) and otherwise joins by shuffle, so no
+job runs while a plan is built.  The one hinted broadcast here, the hot keys of
+``attach_per_key``, has a bound by construction.
 """
 
 from __future__ import annotations
 
-import weakref
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Row bound under which a dimension is broadcast (a team / position table has
-# tens of rows; the bound leaves room for many leagues and seasons).
-DIMENSION_MAX_ROWS = 1_000_000
 
-
-# Proven bounds, per session, keyed by the plan and the exact files it reads:
-# files are written once, so the same plan over the same files has the same
-# rows; a folder that gained or lost files gives a new key and is counted again.
-_BOUNDS: "weakref.WeakKeyDictionary[SparkSession, dict]" = weakref.WeakKeyDictionary()
-
-
-def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """Prove ``df`` has at most ``max_rows`` rows (a job that stops early)."""
-    memo = _BOUNDS.setdefault(df.sparkSession, {})
-    key = (df.semanticHash(), tuple(sorted(df.inputFiles())), max_rows)
-    if key not in memo:
-        memo[key] = df.limit(max_rows + 1).count() <= max_rows
-    return memo[key]
-
-
-def dimension_join(fact: DataFrame, dim: DataFrame, on, how: str = "inner",
-                   max_rows: int = DIMENSION_MAX_ROWS) -> DataFrame:
-    """Join a fact to a dimension, broadcasting the dimension if it is proven small."""
-    if has_at_most(dim, max_rows):
-        dim = F.broadcast(dim)
+def dimension_join(fact: DataFrame, dim: DataFrame, on, how: str = "inner") -> DataFrame:
+    """Join a fact to a dimension; Spark broadcasts the dimension if its bytes are few."""
     return fact.join(dim, on, how)
 
 
@@ -58,61 +33,40 @@ def join_full_outer(frames: list[DataFrame], key: str | list[str], fill=0) -> Da
 
 
 # ------------------------------------------------------------ hot keys ----
-# A key with about HOT_KEY_ROWS rows or more is split over SALT_BUCKETS tasks
-# when per-key values are joined back to the rows.  Hot keys are found on a
-# deterministic Bernoulli sample of the key columns that expects
-# SAMPLES_AT_THRESHOLD rows of a key at the threshold; a key is taken as hot at
-# half that.  The sample only decides which keys are split — every row is
-# joined and every value is exact.  Hot keys are collected to plan the split;
-# there are at most about 2 * total_rows / HOT_KEY_ROWS of them, checked below.
+# A key is hot if it holds HOT_KEY_ROWS rows or more and more than 1 / (2 * P) of
+# all rows, P being the number of shuffle partitions: fewer keys than 2 * P can do
+# so, whatever the data, and keys that are heavy but even need no split.
 HOT_KEY_ROWS = 1_000_000
 SALT_BUCKETS = 64
-MAX_HOT_KEYS = 10_000
-SAMPLES_AT_THRESHOLD = 200
-SAMPLE_SEED = 17
-
-
-def hot_keys(frame: DataFrame, keys: list[str], hot_key_rows: int = HOT_KEY_ROWS) -> list:
-    """Keys holding about ``hot_key_rows`` rows or more (see above)."""
-    fraction = min(1.0, SAMPLES_AT_THRESHOLD / hot_key_rows)
-    min_sampled = max(1, int(hot_key_rows * fraction / 2))
-    not_null = F.lit(True)
-    for k in keys:
-        not_null = not_null & F.col(k).isNotNull()
-    sampled = frame.select(*keys).filter(not_null) \
-        .sample(withReplacement=False, fraction=fraction, seed=SAMPLE_SEED)
-    hot = sampled.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")) \
-        .filter(F.col("_n") >= min_sampled).select(*keys).limit(MAX_HOT_KEYS + 1).collect()
-    if len(hot) > MAX_HOT_KEYS:
-        raise ValueError(f"more than {MAX_HOT_KEYS} hot keys; raise hot_key_rows")
-    return [tuple(r) for r in hot]
-
-
-def attach_per_key(rows: DataFrame, per_key: DataFrame, keys: list[str], hint: str | None = None,
+
+
+def hot_keys(per_key: DataFrame, keys: list[str], count: str, hot_key_rows: int = HOT_KEY_ROWS) -> DataFrame:
+    """The hot keys among ``per_key`` (one row per key, ``count`` rows each): under 2 * P rows."""
+    partitions = int(per_key.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    total = per_key.agg(F.sum(count)).scalar()
+    return per_key.where((F.col(count) >= hot_key_rows) & (F.col(count) * (2 * partitions) > total)).select(*keys)
+
+
+def attach_per_key(rows: DataFrame, per_key: DataFrame, keys: list[str], count: str, hint: str | None = None,
                    hot_key_rows: int = HOT_KEY_ROWS, buckets: int = SALT_BUCKETS) -> DataFrame:
     """Left join of ``rows`` with ``per_key`` (one row per key), hot keys split.
 
-    Rows of a hot key get a salt in [0, buckets) and that key's ``per_key`` row
-    is repeated once per salt, so the key is spread over ``buckets`` join tasks;
-    every other key keeps salt 0.  ``hint`` picks the join strategy of the
-    plain path (e.g. ``"shuffle_hash"`` when ``per_key`` grows with the data).
+    ``count`` is the column of ``per_key`` with the key's number of rows.  Rows of a
+    hot key get a salt in [0, buckets) and that key's ``per_key`` row is repeated once
+    per salt, so the key is spread over ``buckets`` join tasks; every other key keeps
+    salt 0.  Rows with a null key can't match: they bypass the join.  ``hint`` picks
+    the join strategy (e.g. ``"shuffle_hash"`` when ``per_key`` grows with the data).
     """
-    hot = hot_keys(rows, keys, hot_key_rows)
-    if not hot:
-        return rows.join(per_key.hint(hint) if hint else per_key, keys, "left")
-    spark = rows.sparkSession
-    # proven small: at most MAX_HOT_KEYS rows, collected above
-    hot_df = F.broadcast(spark.createDataFrame(hot, rows.select(*keys).schema)
-                         .withColumn("_hot", F.lit(True)))
-    salt = F.pmod(F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in rows.columns]),
-                  F.lit(buckets))
-    salted_rows = rows.join(hot_df, keys, "left") \
-        .withColumn("_salt", F.when(F.col("_hot"), salt).otherwise(F.lit(0).cast("bigint"))) \
-        .drop("_hot")
-    all_salts = F.sequence(F.lit(0).cast("bigint"), F.lit(buckets - 1).cast("bigint"))
-    salted_keys = per_key.join(hot_df, keys, "left").withColumn(
-        "_salt", F.explode(F.when(F.col("_hot"), all_salts)
-                           .otherwise(F.array(F.lit(0).cast("bigint"))))).drop("_hot")
+    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    hot = F.broadcast(hot_keys(per_key, keys, count, hot_key_rows).withColumn("_hot", F.lit(True)))
+    zero = F.lit(0).cast("bigint")
+    salt = F.pmod(F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in rows.columns]), F.lit(buckets))
+    salted_rows = rows.where(known).join(hot, keys, "left") \
+        .withColumn("_salt", F.when(F.col("_hot"), salt).otherwise(zero)).drop("_hot")
+    all_salts = F.sequence(zero, F.lit(buckets - 1).cast("bigint"))
+    salted_keys = per_key.join(hot, keys, "left").withColumn(
+        "_salt", F.explode(F.when(F.col("_hot"), all_salts).otherwise(F.array(zero)))).drop("_hot")
     if hint:
         salted_keys = salted_keys.hint(hint)
-    return salted_rows.join(salted_keys, keys + ["_salt"], "left").drop("_salt")
+    joined = salted_rows.join(salted_keys, keys + ["_salt"], "left").drop("_salt")
+    return joined.unionByName(rows.where(~known), allowMissingColumns=True)

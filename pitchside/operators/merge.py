@@ -2,25 +2,24 @@
 
 ``upsert(target, source, keys)``: a source row whose key exists in the target
 replaces that target row (every column, a null included); a new key is
-inserted; target rows whose key is not in the source stay.  Built from one
-``left_anti`` join and a ``unionByName`` — the target is shuffled once by key,
-the source contributes only its key columns to that join.  AQE splits a
-skewed key of the anti join.
+inserted; target rows whose key is not in the source stay.  It is one full outer
+join on the key in which the source wins where it is present, so target and source
+are each computed once and shuffled once.
 
 Duplicate keys inside one source batch are an error by default (a database
 rejects updating one row twice in a statement).  ``on_duplicate="latest"``
 keeps, per key, the row that is greatest by the caller's order, ties broken by
-the remaining columns so the choice is deterministic; it is a grouped
+a hash of all columns so the choice is deterministic; it is a grouped
 ``max_by`` (partial on the map side), so a hot key never gathers in one task.
 
 Null keys never match anything.  They are rejected by default, because a
 rerun would append them again.
 
 The key check runs inside the merge plan, not as a separate job: a window
-count over the key (the source is hash-partitioned by key for it — the same
-partitioning the anti join needs, so the exchange is shared) and a filter that
-raises on the first violation.  A valid source has unique keys, so this
-partitioning cannot be skewed; the keyed target is unique by key as well.
+count over the key, on the partitioning and order that the join needs anyway, and a
+filter that raises on the first violation.  A valid source has unique keys, so this
+partitioning cannot be skewed; the keyed target is unique by key as well.  After
+``latest`` keys are unique and only nulls are checked.
 """
 
 from __future__ import annotations
@@ -45,31 +44,23 @@ def conform_to(target_schema: T.StructType, source: DataFrame, strict: bool = Fa
     return conform(source, target_schema, strict)
 
 
-def key_violations(source: DataFrame, keys: list[str], allow_null_keys: bool = False) -> DataFrame:
-    """Keys that occur more than once, or contain a null (unless allowed)."""
-    counted = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
-    bad = F.col("rows") > 1
-    if not allow_null_keys:
-        for k in keys:
-            bad = bad | F.col(k).isNull()
-    return counted.filter(bad)
-
-
 def latest_per_key(source: DataFrame, keys: list[str], order_by: list[str]) -> DataFrame:
-    """One row per key: the greatest by ``order_by`` then by every other column."""
+    """One row per key: the greatest by ``order_by``, then by a hash of all columns.
+
+    Every column is carried once: the order columns in the maximum, the rest beside it.
+    """
     cols = source.columns
-    rest = [c for c in cols if c not in keys]
-    tiebreak = [c for c in rest if c not in order_by]
-    value = ", ".join(q(c) for c in rest)
-    order = ", ".join(q(c) for c in list(order_by) + tiebreak)
-    chosen = F.expr(f"max_by(struct({value}), struct({order}))").alias("_row")
-    return source.groupBy(*keys).agg(chosen) \
-        .selectExpr(*[q(c) if c in keys else f"_row.{q(c)}" for c in cols])
+    order = ", ".join([*(q(c) for c in order_by if c not in keys), f"xxhash64({', '.join(q(c) for c in cols)})"])
+    value = ", ".join(q(c) for c in cols if c not in keys and c not in order_by) or "true"
+    out = source.groupBy(*keys).agg(F.expr(f"max_by(struct({value}), struct({order}))").alias("_row"),
+                                    F.expr(f"max(struct({order}))").alias("_order"))
+    where = {c: "_order" for c in order_by} | {c: "_row" for c in cols if c not in order_by}
+    return out.selectExpr(*[q(c) if c in keys else f"{where[c]}.{q(c)}" for c in cols])
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: list[str],
            on_duplicate: str = "error", order_by: list[str] | None = None,
-           allow_null_keys: bool = False, check: bool = True) -> DataFrame:
+           allow_null_keys: bool = False) -> DataFrame:
     if on_duplicate == "latest":
         if not order_by:
             raise ValueError("on_duplicate='latest' needs order_by")
@@ -77,28 +68,29 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str],
     elif on_duplicate != "error":
         raise ValueError(f"unknown on_duplicate policy: {on_duplicate}")
     source = conform_to(target.schema, source)
-    if check:
-        source = checked_keys(source, keys, allow_null_keys)
-    # The source keys grow with the data: shuffled hash join, built on them.
-    kept = target.join(source.select(*keys).hint("shuffle_hash"), keys, "left_anti")
-    return kept.unionByName(source)
+    source = checked_keys(source, keys, allow_null_keys, unique=on_duplicate == "latest")
+    rest = [c for c in target.columns if c not in keys]
+    new = source.select(*keys, *[F.col(c).alias(f"_new_{c}") for c in rest], F.lit(True).alias("_new"))
+    both = target.join(new, keys, "full")
+    return both.selectExpr(*[q(c) if c in keys else f"if(_new, {q(f'_new_{c}')}, {q(c)}) as {q(c)}" for c in target.columns])
 
 
-def checked_keys(source: DataFrame, keys: list[str], allow_null_keys: bool = False) -> DataFrame:
-    """The source unchanged, failing at run time on a duplicate or null key."""
-    counted = source.withColumn("_key_rows", F.count(F.lit(1)).over(Window.partitionBy(*keys)))
-    dup = F.col("_key_rows") > 1
+def checked_keys(source: DataFrame, keys: list[str], allow_null_keys: bool = False, unique: bool = False) -> DataFrame:
+    """The source unchanged, failing at run time on a null key or, unless known to be ``unique``, a duplicate."""
+    key_text = F.to_json(F.struct(*[F.col(k) for k in keys]))
     null = F.lit(False)
+    for k in keys:
+        null = null | F.col(k).isNull()
+    ok = F.lit(True)
     if not allow_null_keys:
-        for k in keys:
-            null = null | F.col(k).isNull()
-    key_text = F.to_json(F.struct(*[F.col(k) for k in keys]))
-    ok = (F.when(dup, F.raise_error(F.concat(F.lit("merge source has a duplicate key: "), key_text)))
-          .when(null, F.raise_error(F.concat(F.lit("merge source has a null key: "), key_text)))
-          .otherwise(F.lit(True)))
-    return counted.filter(ok).drop("_key_rows")
+        ok = F.when(null, F.raise_error(F.concat(F.lit("merge source has a null key: "), key_text))).otherwise(ok)
+    if not unique:
+        source = source.withColumn("_key_rows", F.count(F.lit(1)).over(Window.partitionBy(*keys)))
+        dup = (F.col("_key_rows") > 1) & ~null
+        ok = F.when(dup, F.raise_error(F.concat(F.lit("merge source has a duplicate key: "), key_text))).otherwise(ok)
+    return source.filter(ok).drop("_key_rows")
 
 
-def refresh(target_schema: T.StructType, source: DataFrame) -> DataFrame:
-    """Full refresh: the new content is the source, shaped like the target."""
-    return conform_to(target_schema, source)
+def refresh(target: DataFrame, source: DataFrame) -> DataFrame:
+    """Full refresh: the source, shaped like the target, in place of all its rows."""
+    return conform_to(target.schema, source)

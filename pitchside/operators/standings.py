@@ -167,23 +167,36 @@ def rank_max_window(df: DataFrame, value: str, out: str, partition_by: list[str]
     return df.withColumn(out, F.when(F.col(value).isNotNull(), F.count(F.lit(1)).over(w)))
 
 
+#: Value ranges of ``rank_max``: each is ranked in a task of its own.
+RANK_RANGES = 64
+
+
 def rank_max(df: DataFrame, value: str, out: str, partition_by: list[str] = (),
              hot_key_rows: int = HOT_KEY_ROWS) -> DataFrame:
     """Same ranking for inputs of any size.
 
     Rows are first counted per distinct (partition, value) — a partial
-    aggregation, so a value held by a third of all rows ships one row per task
-    — the running total runs over the distinct values only, and the ranks are
-    joined back with ``attach_per_key``: a value held by very many rows is
-    split over salted tasks; otherwise Spark picks the join (AQE broadcasts the
-    rank table at run time when it is measured small).
+    aggregation, so a value held by a third of all rows ships one row per task.
+    The running total over the distinct values runs inside ``RANK_RANGES`` ranges
+    of the value (cut at its quantiles), with the totals of the higher ranges
+    added, so no task holds all values.  The ranks are joined back with
+    ``attach_per_key``: a value held by very many rows is split over salted tasks.
     """
     keys = [*partition_by, value]
     counts = df.filter(F.col(value).isNotNull()).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    w = Window.partitionBy(*partition_by).orderBy(F.col(value).desc()) \
+    number = F.col(value).cast("double")
+    cuts = counts.agg(F.percentile_approx(number, [i / RANK_RANGES for i in range(1, RANK_RANGES)]).alias("_cuts"))
+    counts = counts.crossJoin(F.broadcast(cuts))  # one row
+    counts = counts.withColumn("_range", F.size(F.filter("_cuts", lambda cut: cut < number))).drop("_cuts")
+    inside = Window.partitionBy(*partition_by, "_range").orderBy(F.col(value).desc()) \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranks = counts.select(*keys, F.sum("_n").over(w).alias(out))
-    return attach_per_key(df, ranks, keys, hot_key_rows=hot_key_rows).select(*df.columns, out)
+    above = Window.partitionBy(*partition_by).orderBy(F.col("_range").desc()) \
+        .rowsBetween(Window.unboundedPreceding, -1)
+    higher = counts.groupBy(*partition_by, "_range").agg(F.sum("_n").alias("_sum")).select(
+        *partition_by, "_range", F.coalesce(F.sum("_sum").over(above), F.lit(0)).alias("_higher"))
+    ranks = counts.withColumn("_inside", F.sum("_n").over(inside)).join(higher, [*partition_by, "_range"]) \
+        .select(*keys, "_n", (F.col("_inside") + F.col("_higher")).alias(out))
+    return attach_per_key(df, ranks, keys, "_n", hot_key_rows=hot_key_rows).select(*df.columns, out)
 
 
 # ------------------------------------------------------------ the table -----

@@ -6,8 +6,10 @@ and publishes them with ONE commit (all-or-nothing for the run).  Every job is
 re-runnable: a rerun over the same pages leaves the published tables equal.
 
 Landed JSON is parsed once per run: the scanned rows are checkpointed (to the
-shared folder named by ``spark.checkpoint.dir``) and every later step — table
-versions, CSV snapshots, the partitions a merge touches — reads that copy.
+shared folder named by ``spark.checkpoint.dir``) and every later step — counting,
+table versions, CSV snapshots, the partitions a merge touches — reads that copy.
+A page that landed twice counts once: of every fixture and every player the newest
+file is used.
 Large intermediate results are also cut from their lineage by being written as
 a table version first (e.g. ``fixture_info``), and later steps read that version.
 """
@@ -39,8 +41,9 @@ class Landing:
     strict: bool = False
 
 
-def _boot(spark: SparkSession, landing: Landing) -> DataFrame:
-    return SN.read_bootstrap(spark, landing.bootstrap, landing.multi_line, landing.strict)
+def _boot(spark: SparkSession, landing: Landing, *arrays: str) -> DataFrame:
+    """The given arrays of the bootstrap documents, parsed once."""
+    return _parsed_once(spark, SN.read_bootstrap(spark, landing.bootstrap, landing.multi_line, landing.strict).select(*arrays))
 
 
 def _parsed_once(spark: SparkSession, df: DataFrame) -> DataFrame:
@@ -53,10 +56,10 @@ def fixture_job(spark: SparkSession, landing: Landing, store: TableStore,
                 snapshot_date: dt.date | str | None = None, csv_base: str | None = None,
                 gameweeks: tuple[int, int] | None = None) -> int:
     """``fixture_info`` (full refresh) + ``team_info`` (upsert by team), one commit."""
-    teams = SN.scan_teams(SN.bootstrap_array(_boot(spark, landing), "teams"), landing.strict)
-    fixtures = _parsed_once(spark, SN.scan_fixtures(
-        SN.read_fixture_pages(spark, landing.fixtures, landing.multi_line, landing.strict),
-        gameweeks, landing.strict))
+    teams = SN.scan_teams(SN.bootstrap_array(_boot(spark, landing, "teams"), "teams"), landing.strict)
+    fixtures = SN.newest_landed(_parsed_once(spark, SN.scan_fixtures(
+        SN.read_fixture_pages(spark, landing.fixtures, landing.multi_line, landing.strict, landed=True),
+        gameweeks, landing.strict, keep=[SN.LANDED])), "id")
     v_fix = store.stage_refresh("fixture_info", ST.fixture_info(fixtures), SC.FIXTURE_INFO)
     info = spark.read.schema(SC.FIXTURE_INFO).parquet(store.path("fixture_info", v_fix))
     table = ST.league_from_scored(info, teams)
@@ -73,7 +76,7 @@ def fixture_job(spark: SparkSession, landing: Landing, store: TableStore,
 def player_job(spark: SparkSession, landing: Landing, store: TableStore,
                snapshot_date: dt.date | str | None = None, csv_base: str | None = None) -> int:
     """``player_info`` (upsert by player)."""
-    boot = _boot(spark, landing)
+    boot = _boot(spark, landing, "elements", "element_types")
     players = PL.player_info(SN.scan_elements(SN.bootstrap_array(boot, "elements"), landing.strict),
                              SN.scan_positions(SN.bootstrap_array(boot, "element_types"),
                                                landing.strict), landing.strict)
@@ -93,9 +96,9 @@ def player_gw_job(spark: SparkSession, landing: Landing, store: TableStore,
     is an error (as a keyed insert would be).  ``on_duplicate="latest"`` keeps
     the later game (by kickoff time, then fixture id).
     """
-    hist = SN.scan_history(
-        SN.read_history_pages(spark, landing.history, landing.multi_line, landing.strict),
-        players, landing.strict)
+    hist = SN.newest_landed(_parsed_once(spark, SN.scan_history(
+        SN.read_history_pages(spark, landing.history, landing.multi_line, landing.strict, landed=True),
+        players, landing.strict, keep=[SN.LANDED])), "element")
     keep = ["kickoff_time", "fixture"]
     stats = _parsed_once(spark, GW.player_gw_stats(hist, keep=keep, strict=landing.strict))
     # Partitioned by gameweek: a run rewrites only the gameweeks it brings.
@@ -112,7 +115,7 @@ def player_gw_job(spark: SparkSession, landing: Landing, store: TableStore,
 def gameweek_job(spark: SparkSession, landing: Landing, store: TableStore,
                  csv_base: str | None = None, with_index: bool = False) -> int:
     """``gw_stats`` (upsert by gameweek id); the CSV is written after the commit."""
-    events = SN.scan_gameweeks(SN.bootstrap_array(_boot(spark, landing), "events"), landing.strict)
+    events = SN.scan_gameweeks(SN.bootstrap_array(_boot(spark, landing, "events"), "events"), landing.strict)
     stats = GW.gw_stats(events, landing.strict)
     seq = store.commit({"gw_stats": store.stage_upsert("gw_stats", stats, SC.GW_STATS_KEY,
                                                        SC.GW_STATS)})

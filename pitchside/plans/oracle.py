@@ -1,7 +1,7 @@
 """DuckDB SQL oracles, one per registered query.
 
-Each oracle is written independently of the Spark code, against the driver's
-tables (``region nation customer …`` as views).  The ``fx_*`` CTEs mirror
+Each oracle is SQL of its own on the driver's tables (``region nation customer …``
+as views); only the column lists of the result tables come from ``schemas``.  The ``fx_*`` CTEs mirror
 ``sources.testdata``.  Notes on DuckDB: a double→integer cast rounds, so
 ``floor`` is used; ``sum`` of bigint is HUGEINT, so sums are cast back.
 """
@@ -12,6 +12,7 @@ import re
 
 # The fixed split points of the two-load (target / source) merge queries.
 FIXTURE_CUTOFF = "1998-01-01"
+FIXTURE_SOURCE_FROM = "1997-01-01"
 EVENT_TARGET_BEFORE = "2024-01-20"
 EVENT_SOURCE_FROM = "2024-01-10"
 PLAYER_TARGET_TEAMS_BELOW = 15
@@ -487,8 +488,12 @@ from fx_history""", "fx_history"),
 }
 
 
+def _is_before(col: str, when: str) -> str:
+    return f"coalesce({col} < timestamp '{when}', false)"
+
+
 def _upsert_team() -> str:
-    old = f"kickoff_time < timestamp '{FIXTURE_CUTOFF}'"
+    old = _is_before("kickoff_time", FIXTURE_CUTOFF)
     ctes = ["fx_fixtures", "fx_teams"]
     for prefix, cond in (("t", old), ("s", f"not ({old})")):
         for name, text in league_ctes(cond)[2:] + [("league", LEAGUE_SELECT)]:
@@ -496,7 +501,10 @@ def _upsert_team() -> str:
                 text = text.replace(f"from {other}", f"from {prefix}_{other}")
             out_name = f"{prefix}_{name}"
             ctes.append((out_name, text))
-    return sql(upsert_sql("t_league", "s_league", SC.TEAM_INFO_KEY, SC.names(SC.TEAM_INFO)), *ctes)
+    ctes += [("target", "select * from t_league where league_position > 3"),
+             ("source", "select * replace (case when league_position > 5 then strength_attack_home end as strength_attack_home) "
+                        "from s_league where league_position <= 20")]
+    return sql(upsert_sql("target", "source", SC.TEAM_INFO_KEY, SC.names(SC.TEAM_INFO)), *ctes)
 
 
 def _upsert_player() -> str:
@@ -508,26 +516,30 @@ def _upsert_player() -> str:
                 text = text.replace(f"from {other}", f"from {prefix}_{other}") \
                     .replace(f"join {other}", f"join {prefix}_{other}")
             ctes.append((f"{prefix}_{name}", text))
-    return sql(upsert_sql("t_player_info", "s_player_info", SC.PLAYER_INFO_KEY,
-                          SC.names(SC.PLAYER_INFO)), *ctes)
+    ctes.append(("source", "select * replace (total_points + 7 as total_points, "
+                 "case when total_points >= 20 then influence end as influence) from s_player_info"))
+    return sql(upsert_sql("t_player_info", "source", SC.PLAYER_INFO_KEY, SC.names(SC.PLAYER_INFO)), *ctes)
 
 
 def _upsert_gameweek() -> str:
     ctes = ["fx_gw"]
-    for prefix, cond in (("t", f"deadline_time < timestamp '{EVENT_TARGET_BEFORE}'"),
-                         ("s", f"deadline_time >= timestamp '{EVENT_SOURCE_FROM}'")):
+    for prefix, cond in (("t", _is_before("deadline_time", EVENT_TARGET_BEFORE)),
+                         ("s", f"not {_is_before('deadline_time', EVENT_SOURCE_FROM)}")):
         for name, text in gw_ctes(cond)[1:]:
             for other in ("scan_gameweeks", "gw_frame"):
                 text = text.replace(f"from {other}", f"from {prefix}_{other}")
             ctes.append((f"{prefix}_{name}", text))
-    return sql(upsert_sql("t_gw_stats", "s_gw_stats", SC.GW_STATS_KEY, SC.names(SC.GW_STATS)), *ctes)
+    ctes.append(("source", "select * replace (highest_score + 1 as highest_score, "
+                 "case when average_entry_score >= 50 then most_selected end as most_selected) from s_gw_stats"))
+    return sql(upsert_sql("t_gw_stats", "source", SC.GW_STATS_KEY, SC.names(SC.GW_STATS)), *ctes)
 
 
 def _upsert_player_gw() -> str:
-    old = f"kickoff_time < timestamp '{FIXTURE_CUTOFF}'"
-    ctes = ["fx_history"] + _pgw_load("t", old) + _pgw_load("s", f"not ({old})")
-    return sql(upsert_sql("t_latest", "s_latest", SC.PLAYER_GW_STATS_KEY,
-                          SC.names(SC.PLAYER_GW_STATS)), *ctes)
+    ctes = ["fx_history"] + _pgw_load("t", _is_before("kickoff_time", FIXTURE_CUTOFF)) \
+        + _pgw_load("s", f"not {_is_before('kickoff_time', FIXTURE_SOURCE_FROM)}")
+    ctes.append(("source", "select * replace (points + 1 as points, "
+                 "case when points < 10 then expected_goals end as expected_goals) from s_latest"))
+    return sql(upsert_sql("t_latest", "source", SC.PLAYER_GW_STATS_KEY, SC.names(SC.PLAYER_GW_STATS)), *ctes)
 
 
 ORACLES.update({

@@ -4,7 +4,9 @@ Every query reads whole driver tables (through the ``fx_*`` views of
 ``sources.testdata``) and runs the library's operators on them.  The merge
 queries split a table into two overlapping loads — an earlier one (the target,
 as a previous run left it) and a later one (the source) — and merge them; the
-two loads together cover every row.
+two loads together cover every row (one without a date is in the later load).  The
+source carries changed values and nulls that must overwrite, and each merge has
+updated, inserted and kept keys.
 """
 
 from __future__ import annotations
@@ -65,6 +67,11 @@ def _before(col: str, when: str):
     return F.col(col) < F.lit(when).cast("timestamp_ntz")
 
 
+def _since(col: str, when: str):
+    """The other rows, those without a date among them."""
+    return (F.col(col) >= F.lit(when).cast("timestamp_ntz")) | F.col(col).isNull()
+
+
 # -------------------------------------------------------------- standings ---
 
 def league_table(spark, d):
@@ -108,13 +115,11 @@ def result_pivot(spark, d):
 
 
 def join_full_outer_q(spark, d):
-    """Six separately counted tables folded by full outer joins (missing → 0)."""
-    sides = ST.team_sides(_scored(spark, d))
-    parts = []
-    for home, where in ((True, "home"), (False, "away")):
-        for letter, name in (("W", "wins"), ("L", "loss"), ("D", "draw")):
-            parts.append(sides.filter((F.col("is_home") == home) & (F.col("result") == letter))
-                         .groupBy("team_id").agg(F.count(F.lit(1)).alias(f"{where}_{name}")))
+    """Six count tables folded by full outer joins (missing → 0).
+
+    All counts come from one aggregate, whose exchange the six tables share."""
+    counts = ST.team_aggregate(ST.team_sides(_scored(spark, d)))
+    parts = [counts.filter(F.col(c) > 0).select("team_id", c) for c in ST.RESULT_COLUMNS]
     return join_full_outer(parts, "team_id", 0)
 
 
@@ -132,9 +137,12 @@ def rank_max(spark, d):
 
 
 def refresh_fixtures(spark, d):
-    # The new content replaces the table whole; extra columns (id, stats…) are dropped.
+    # The new content replaces the table whole, whose rows are older ones with other
+    # values; extra columns (id, stats…) are dropped.
     scored = ST.score_fixtures(_fixtures(spark, d).withColumnsRenamed(ST.FIXTURE_RENAMES))
-    return MG.refresh(SC.FIXTURE_INFO, scored)
+    target = MG.conform_to(SC.FIXTURE_INFO, scored.filter(_before("kickoff_time", OR.FIXTURE_CUTOFF))
+                           .withColumn("minutes", F.col("minutes") + 1))
+    return MG.refresh(target, scored)
 
 
 def staging_conform(spark, d):
@@ -180,7 +188,7 @@ def union_pages(spark, d):
     raw = TD.fx_history(spark, d)
     old = _before("kickoff_time", OR.FIXTURE_CUTOFF)
     older = raw.filter(old).drop("expected_goals")
-    newer = raw.filter(~old)
+    newer = raw.filter(_since("kickoff_time", OR.FIXTURE_CUTOFF))
     return older.unionByName(newer, allowMissingColumns=True)
 
 
@@ -243,22 +251,28 @@ def gw_stats(spark, d):
 def upsert_team(spark, d):
     fixtures, teams = _fixtures(spark, d), _teams(spark, d)
     old = _before("kickoff_time", OR.FIXTURE_CUTOFF)
-    target = ST.league_table(fixtures.filter(old), teams)
-    source = ST.league_table(fixtures.filter(~old), teams)
+    # the three best are new to the table; the last places are missing from the new load
+    target = ST.league_table(fixtures.filter(old), teams).filter(F.col("league_position") > 3)
+    source = ST.league_table(fixtures.filter(_since("kickoff_time", OR.FIXTURE_CUTOFF)), teams).filter(F.col("league_position") <= 20) \
+        .withColumn("strength_attack_home", F.when(F.col("league_position") > 5, F.col("strength_attack_home")))
     return MG.upsert(target, source, SC.TEAM_INFO_KEY)
 
 
 def upsert_player(spark, d):
     elements, positions = _elements(spark, d), _positions(spark, d)
     target = PL.player_info(elements.filter(F.col("team") < OR.PLAYER_TARGET_TEAMS_BELOW), positions)
-    source = PL.player_info(elements.filter(F.col("team") >= OR.PLAYER_SOURCE_TEAMS_FROM), positions)
+    source = PL.player_info(elements.filter(F.col("team") >= OR.PLAYER_SOURCE_TEAMS_FROM), positions).withColumns({
+        "total_points": F.col("total_points") + 7,
+        "influence": F.when(F.col("total_points") >= 20, F.col("influence"))})
     return MG.upsert(target, source, SC.PLAYER_INFO_KEY)
 
 
 def upsert_gameweek(spark, d):
     gws = _gameweeks(spark, d)
     target = GW.gw_stats(gws.filter(_before("deadline_time", OR.EVENT_TARGET_BEFORE)))
-    source = GW.gw_stats(gws.filter(~_before("deadline_time", OR.EVENT_SOURCE_FROM)))
+    source = GW.gw_stats(gws.filter(_since("deadline_time", OR.EVENT_SOURCE_FROM))).withColumns({
+        "highest_score": F.col("highest_score") + 1,
+        "most_selected": F.when(F.col("average_entry_score") >= 50, F.col("most_selected"))})
     return MG.upsert(target, source, SC.GW_STATS_KEY)
 
 
@@ -267,16 +281,12 @@ LATEST_ORDER = ["kickoff_time", "fixture", "line"]
 
 def upsert_player_gw(spark, d):
     hist = _history(spark, d)
-    old = _before("kickoff_time", OR.FIXTURE_CUTOFF)
-    keep = LATEST_ORDER
-
-    def load(rows):
-        return MG.latest_per_key(GW.player_gw_stats(rows, keep=keep),
-                                 SC.PLAYER_GW_STATS_KEY, LATEST_ORDER)
-
-    target = load(hist.filter(old)).select(*SC.names(SC.PLAYER_GW_STATS))
-    source = load(hist.filter(~old))
-    return MG.upsert(target, source, SC.PLAYER_GW_STATS_KEY)
+    target = MG.latest_per_key(
+        GW.player_gw_stats(hist.filter(_before("kickoff_time", OR.FIXTURE_CUTOFF)), keep=LATEST_ORDER),
+        SC.PLAYER_GW_STATS_KEY, LATEST_ORDER).select(*SC.names(SC.PLAYER_GW_STATS))
+    source = GW.player_gw_stats(hist.filter(_since("kickoff_time", OR.FIXTURE_SOURCE_FROM)), keep=LATEST_ORDER) \
+        .withColumns({"points": F.col("points") + 1, "expected_goals": F.when(F.col("points") < 10, F.col("expected_goals"))})
+    return MG.upsert(target, source, SC.PLAYER_GW_STATS_KEY, on_duplicate="latest", order_by=LATEST_ORDER)
 
 
 QUERIES: dict[str, Query] = {

@@ -6,6 +6,7 @@ settings.  ``local_session`` is for tests, the bench and the smoke entry.
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -50,7 +51,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     path = spark.conf.get("spark.checkpoint.dir", None) or \
         spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not path:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.match(r"local($|\[)", spark.sparkContext.master):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS, S3, …)")
         path = tempfile.mkdtemp(prefix="pitchside-ckpt-")
         try:

@@ -12,6 +12,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from .tables import TableStore
+
 
 def write_jdbc(df: DataFrame, url: str, table: str, properties: dict | None = None,
                mode: str = "append", batch_size: int = 10_000, num_connections: int = 16,
@@ -20,3 +22,9 @@ def write_jdbc(df: DataFrame, url: str, table: str, properties: dict | None = No
     opts.update({"batchsize": str(batch_size), "numPartitions": str(num_connections),
                  "truncate": str(truncate).lower()})
     df.write.mode(mode).jdbc(url, table, properties=opts)
+
+
+def publish(store: TableStore, tables: list[str], url: str, properties: dict | None = None) -> None:
+    """Replace the database tables by the published versions of ``tables``."""
+    for table in tables:
+        write_jdbc(store.read(table), url, table, properties, mode="overwrite")

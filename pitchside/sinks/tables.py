@@ -1,6 +1,7 @@
 """Keyed result tables on plain Parquet, published all-or-nothing.
 
-Layout under one root folder (any Hadoop file system: HDFS, S3A, GCS, local)::
+Layout under one root folder on a file system that can publish a file without
+overwriting one (HDFS and local paths; others are refused)::
 
     <root>/<table>/v=<version>/part-*.parquet   one folder per written version
     <root>/_commits/<seq>.json                   {"tables": {table: version}, ...}
@@ -18,9 +19,10 @@ then one small commit file names the versions of *all* tables changed by the
 run.  Readers resolve the newest commit file, so they see either the old or the
 new state of every table of the run — the single commit of the original
 scripts.  A run that dies before its commit leaves only an unreferenced folder.
-Commit files are created under a temporary name and renamed into place; a
-rename onto an existing sequence number fails, so two concurrent runs cannot
-both commit the same step.  Concurrency is optimistic and per table: a staged
+Commit files are created under a temporary name and put in place in one atomic step
+that fails if the sequence number is taken (HDFS: a rename that never overwrites;
+local paths: a hard link), so two concurrent runs cannot both commit the same step.
+Object stores copy and delete instead of renaming: a store there is refused.  Concurrency is optimistic and per table: a staged
 upsert remembers the version it read, and the commit fails (``CommitConflict``)
 if another run has published that table since — the run is redone on the new
 state, never merged onto a stale one.  A lost rename race where only other
@@ -30,6 +32,7 @@ tables changed is retried on the fresh state.
 from __future__ import annotations
 
 import json
+import os
 import time
 import uuid
 
@@ -42,9 +45,6 @@ from pyspark.sql import types as T
 from ..operators import merge as MG
 
 COMMITS = "_commits"
-# Bound on the partition values one upsert may touch (they are collected to the
-# driver as a short list; a partition column must have few values per run).
-MAX_TOUCHED_PARTITIONS = 100_000
 
 
 class CommitConflict(RuntimeError):
@@ -52,8 +52,6 @@ class CommitConflict(RuntimeError):
 
 
 class TableStore:
-    COMMIT_ATTEMPTS = 5
-
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
@@ -62,6 +60,13 @@ class TableStore:
         self._Path = jvm.org.apache.hadoop.fs.Path
         self._jvm = jvm
         self._fs = self._Path(self.root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        self._scheme = self._fs.getUri().getScheme()
+        self._check_scheme(self._scheme)
+
+    @staticmethod
+    def _check_scheme(scheme: str) -> None:
+        if scheme not in ("file", "hdfs"):
+            raise ValueError(f"a table store on {scheme} can't commit atomically: use hdfs or a local path")
 
     # ----------------------------------------------------------- commits ---
 
@@ -100,7 +105,7 @@ class TableStore:
     def commit(self, versions: dict[str, str], meta: dict | None = None,
                base_seq: int | None = None) -> int:
         """Publish new versions of some tables (others keep theirs) in one step."""
-        for attempt in range(self.COMMIT_ATTEMPTS):
+        while True:  # a lost race means that another run has committed
             state = self.state()
             if base_seq is not None and state["seq"] != base_seq:
                 raise CommitConflict(f"store moved from commit {base_seq} to {state['seq']}")
@@ -111,7 +116,7 @@ class TableStore:
             try:
                 seq = self._commit_once(state, versions, meta)
             except CommitConflict:
-                if attempt == self.COMMIT_ATTEMPTS - 1 or base_seq is not None:
+                if base_seq is not None:
                     raise
                 continue
             for table in versions:
@@ -131,11 +136,23 @@ class TableStore:
         finally:
             out.close()
         final = self._Path(f"{self.root}/{COMMITS}/{seq:020d}.json")
-        if self._fs.exists(final) or not self._fs.rename(tmp, final):
-            self._fs.delete(tmp, False)
+        if not self._put(tmp, final):
             raise CommitConflict(f"commit {seq} was taken by another run")
         return seq
 
+    def _put(self, tmp, final) -> bool:
+        """Publish ``tmp`` as ``final`` unless that exists, in one atomic step."""
+        try:
+            if self._scheme == "hdfs":
+                return self._fs.rename(tmp, final)
+            os.link(tmp.toUri().getPath(), final.toUri().getPath())
+            return True
+        except FileExistsError:
+            return False
+        finally:
+            if self._fs.exists(tmp):
+                self._fs.delete(tmp, False)
+
     # ------------------------------------------------------------ tables ---
 
     def path(self, table: str, version: str) -> str:
@@ -195,19 +212,19 @@ class TableStore:
         moves between partitions."""
         if column not in keys:
             raise ValueError(f"partition column {column} must be a key column")
-        touched = [r[0] for r in source.select(F.col(column).cast("string"))
-                   .distinct().limit(MAX_TOUCHED_PARTITIONS + 1).collect()]
-        if len(touched) > MAX_TOUCHED_PARTITIONS:
-            raise ValueError(f"source touches more than {MAX_TOUCHED_PARTITIONS} partitions")
+        # one value per folder that the run writes
+        touched = [r[0] for r in source.select(F.col(column).cast("string")).distinct().collect()]
+        if None in touched:
+            raise ValueError(f"rows without {column}: a partition of {table} needs a value")
         current = self.version(table)
         if isinstance(current, str):
             raise ValueError(f"{table} is not partitioned")
         self._read_versions[table] = current
         parts = dict(current["parts"]) if current else {}
-        target = self.read(table, schema, only_parts=[t for t in touched if t is not None])
+        target = self.read(table, schema, only_parts=touched)
         merged = MG.upsert(target, source, keys, **merge_options)
         version = self.stage(table, merged, [column])
-        parts.update({t: version for t in touched if t is not None})
+        parts.update({t: version for t in touched})
         return {"column": column, "parts": parts}
 
     def version_count(self, table: str) -> int:
@@ -236,7 +253,7 @@ class TableStore:
 
     def stage_refresh(self, table: str, source: DataFrame, schema: T.StructType,
                       partition_by: list[str] | None = None) -> str:
-        return self.stage(table, MG.refresh(schema, source), partition_by)
+        return self.stage(table, MG.conform_to(schema, source), partition_by)
 
     def upsert(self, table: str, source: DataFrame, keys: list[str], schema: T.StructType,
                **merge_options) -> int:

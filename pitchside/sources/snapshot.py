@@ -12,8 +12,10 @@ the pages are read in parallel and a page that lacks a field gives null for it.
 Pretty-printed responses need ``multi_line=True`` (a file is then one task); at
 scale land JSON Lines (``multi_line=False``), which Spark splits freely.
 
-``strict`` turns a field that does not fit its declared type into an error
-(``FAILFAST``); the default keeps the record and nulls that one field.
+A page that is not JSON (a truncated response) is an error in every mode, naming its
+file: reading on would drop its records.  ``strict`` also turns a field that does not
+fit its declared type into an error (``FAILFAST``); the default keeps the record and
+nulls that one field.
 """
 
 from __future__ import annotations
@@ -26,12 +28,42 @@ from .. import schemas as SC
 from ..functions.casts import convert_expr, q
 
 
+CORRUPT = "_unparsed"
+LANDED = "_landed"
+
+
+def with_corrupt(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+
+
+def parsable(df: DataFrame) -> DataFrame:
+    """Rows read with a ``CORRUPT`` column: fails on a record that is not JSON, naming its file."""
+    broken = F.col(CORRUPT).isNotNull() & F.get_json_object(CORRUPT, "$").isNull()
+    message = F.concat(F.lit("a landed page cannot be parsed: "), F.col("_metadata.file_path"))
+    return df.filter(F.when(broken, F.raise_error(message)).otherwise(F.lit(True)))
+
+
 def read_documents(spark: SparkSession, path: str | list[str], schema: T.StructType,
-                   multi_line: bool = True, strict: bool = False) -> DataFrame:
-    return (spark.read.schema(schema)
-            .option("multiLine", multi_line)
-            .option("mode", "FAILFAST" if strict else "PERMISSIVE")
-            .json(path))
+                   multi_line: bool = True, strict: bool = False, landed: bool = False) -> DataFrame:
+    """``landed`` adds the file's time and path as column ``LANDED`` (newer files compare greater)."""
+    df = (spark.read.schema(with_corrupt(schema))
+          .option("multiLine", multi_line)
+          .option("columnNameOfCorruptRecord", CORRUPT)
+          .option("mode", "FAILFAST" if strict else "PERMISSIVE")
+          .json(path))
+    file = F.struct(F.col("_metadata.file_modification_time").alias("time"), F.col("_metadata.file_path").alias("path"))
+    return parsable(df).select(*schema.names, *([file.alias(LANDED)] if landed else []))
+
+
+def newest_landed(df: DataFrame, key: str) -> DataFrame:
+    """Of each ``key``, the rows of the newest file that has it (rows without a key all stay).
+
+    A page that landed twice counts once.  The newest file per key is a partial
+    aggregate joined back.
+    """
+    newest = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.max(LANDED).alias("_newest"))
+    return df.join(newest, key, "left").filter(F.col("_newest").isNull() | (F.col(LANDED) == F.col("_newest"))) \
+        .select(*[c for c in df.columns if c != LANDED])
 
 
 def conform(df: DataFrame, schema: T.StructType, strict: bool = False,
@@ -59,15 +91,15 @@ def bootstrap_array(bootstrap: DataFrame, name: str) -> DataFrame:
 
 
 def read_fixture_pages(spark: SparkSession, path, multi_line: bool = True,
-                       strict: bool = False) -> DataFrame:
+                       strict: bool = False, landed: bool = False) -> DataFrame:
     # A top-level JSON array gives one row per element; "[]" gives no rows.
-    return read_documents(spark, path, SC.FIXTURE, multi_line, strict)
+    return read_documents(spark, path, SC.FIXTURE, multi_line, strict, landed)
 
 
 def read_history_pages(spark: SparkSession, path, multi_line: bool = True,
-                       strict: bool = False) -> DataFrame:
-    return read_documents(spark, path, SC.ELEMENT_SUMMARY, multi_line, strict) \
-        .select(F.inline("history"))
+                       strict: bool = False, landed: bool = False) -> DataFrame:
+    df = read_documents(spark, path, SC.ELEMENT_SUMMARY, multi_line, strict, landed)
+    return df.select(F.inline("history"), *([LANDED] if landed else []))
 
 
 # ------------------------------------------------------- scan operators ----
@@ -79,9 +111,9 @@ def scan_teams(raw: DataFrame, strict: bool = False) -> DataFrame:
 
 
 def scan_fixtures(raw: DataFrame, gameweeks: tuple[int, int] | None = None,
-                  strict: bool = False) -> DataFrame:
+                  strict: bool = False, keep: list[str] = ()) -> DataFrame:
     """Fixture pages; a fixture without a gameweek is never on a page."""
-    df = conform(raw, SC.parsed(SC.FIXTURE), strict).filter(F.col("event").isNotNull())
+    df = conform(raw, SC.parsed(SC.FIXTURE), strict, keep).filter(F.col("event").isNotNull())
     if gameweeks is not None:
         df = df.filter(F.col("event").between(*gameweeks))
     return df

@@ -2,7 +2,9 @@
 
 Two streams share one ``TableStore``: fixture pages (``start_fixture_stream``)
 and player history pages (``start_history_stream``).  A commit that loses a
-race with the other stream is redone on the new state (``MAX_ATTEMPTS``).
+race with the other stream is redone on the new state (another run has published
+then, so the runs together always get on).  A page that cannot be parsed fails the
+micro-batch, naming the file.
 
 Fixture stream:
 
@@ -36,9 +38,6 @@ from ..sources import snapshot as SN
 BATCH_KEY = "fixture_stream_batch"
 HISTORY_BATCH_KEY = "history_stream_batch"
 FIXTURES_KEY = ["id"]
-MAX_ATTEMPTS = 3
-# The newest-page list has at most one row per landed file of the batch.
-MAX_BROADCAST_FILES = 1_000_000
 
 
 def _persisted(batch: DataFrame, fn):
@@ -53,12 +52,11 @@ def _persisted(batch: DataFrame, fn):
 
 def _with_retry(step):
     """Run ``step`` (stage + commit against the current state) until it commits."""
-    for attempt in range(MAX_ATTEMPTS):
+    while True:
         try:
             return step()
         except CommitConflict:
-            if attempt == MAX_ATTEMPTS - 1:
-                raise
+            continue
 
 
 def fixture_batch(spark: SparkSession, store: TableStore, teams: DataFrame):
@@ -71,7 +69,7 @@ def fixture_batch(spark: SparkSession, store: TableStore, teams: DataFrame):
         state = store.state()
         if state["meta"].get(BATCH_KEY, -1) >= batch_id:
             return
-        rows = batch.withColumns({
+        rows = SN.parsable(batch).withColumns({
             "_landed": F.col("_metadata.file_modification_time"),
             "_file": F.col("_metadata.file_path")})
         scanned = SN.conform(rows, stored_schema, keep=["_landed", "_file"]) \
@@ -93,7 +91,8 @@ def start_fixture_stream(spark: SparkSession, fixtures_landing: str, teams: Data
                          store: TableStore, checkpoint_location: str,
                          available_now: bool = True, multi_line: bool = True,
                          max_files_per_trigger: int | None = None):
-    reader = spark.readStream.schema(SC.FIXTURE).option("multiLine", multi_line)
+    reader = spark.readStream.schema(SN.with_corrupt(SC.FIXTURE)).option("multiLine", multi_line) \
+        .option("columnNameOfCorruptRecord", SN.CORRUPT)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.json(fixtures_landing).select("*", "_metadata")
@@ -111,8 +110,8 @@ def history_batch(spark: SparkSession, store: TableStore, on_duplicate: str = "l
     are counted within the batch.  If one player's page landed twice in the
     batch only the newest file is used: the newest file per player is found on
     the (file, player) pairs — at most one row per landed file — and the rows
-    are kept by a semi join with that file list, broadcast because it is bounded
-    by the batch's file count.  The rows themselves are never shuffled by player.
+    are kept by a semi join with that file list (which Spark broadcasts if its
+    measured size is small).
     """
     order = ["kickoff_time", "fixture"]
 
@@ -120,15 +119,12 @@ def history_batch(spark: SparkSession, store: TableStore, on_duplicate: str = "l
         state = store.state()
         if state["meta"].get(HISTORY_BATCH_KEY, -1) >= batch_id:
             return
-        pages = batch.select(F.col("_metadata.file_modification_time").alias("_landed"),
+        pages = SN.parsable(batch).select(F.col("_metadata.file_modification_time").alias("_landed"),
                              F.col("_metadata.file_path").alias("_file"), F.inline("history"))
         rows = SN.conform(pages, SC.parsed(SC.HISTORY), keep=["_landed", "_file"])
         newest = rows.select("_file", "_landed", "element").distinct() \
             .groupBy("element").agg(F.max(F.struct("_landed", "_file")).alias("_newest")) \
             .select(F.col("_newest._file").alias("_file"))
-        files = len(batch.inputFiles())
-        if files <= MAX_BROADCAST_FILES:
-            newest = F.broadcast(newest)
         rows = rows.join(newest, "_file", "left_semi")
         stats = GW.player_gw_stats(rows, keep=order)
         v = store.stage_upsert_partitions(
@@ -145,7 +141,8 @@ def start_history_stream(spark: SparkSession, history_landing: str, store: Table
                          checkpoint_location: str, available_now: bool = True,
                          multi_line: bool = True, on_duplicate: str = "latest",
                          max_files_per_trigger: int | None = None):
-    reader = spark.readStream.schema(SC.ELEMENT_SUMMARY).option("multiLine", multi_line)
+    reader = spark.readStream.schema(SN.with_corrupt(SC.ELEMENT_SUMMARY)).option("multiLine", multi_line) \
+        .option("columnNameOfCorruptRecord", SN.CORRUPT)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.json(history_landing).select("*", "_metadata")

@@ -63,11 +63,12 @@ def test_league_table_matches_brute_force(spark, matches):
 def test_latest_per_key_matches_brute_force(spark, rows):
     df = spark.createDataFrame(rows, "k bigint, t bigint, v bigint")
     got = {r.k: (r.t, r.v) for r in MG.latest_per_key(df, ["k"], ["t"]).collect()}
-    want = {}
-    for k, t, v in rows:
-        if k not in want or (t, v) > want[k]:
-            want[k] = (t, v)
-    assert got == want
+    newest = {}
+    for k, t, _ in rows:
+        newest[k] = max(t, newest.get(k, t))
+    assert {k: t for k, (t, _) in got.items()} == newest
+    assert all((k, t, v) in rows for k, (t, v) in got.items())      # a whole row, ties broken by its hash
+    assert got == {r.k: (r.t, r.v) for r in MG.latest_per_key(df.repartition(3), ["k"], ["t"]).collect()}
 
 
 def test_hot_key_holds_a_third_of_rows(spark):

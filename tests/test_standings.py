@@ -151,15 +151,6 @@ def test_page_order_does_not_matter(spark, scratch):
     assert t1.exceptAll(t2).count() == 0 and t2.exceptAll(t1).count() == 0
 
 
-def test_dimension_bound_is_recounted_when_files_change(spark, scratch):
-    from pitchside.operators.joins import has_at_most
-    folder = os.path.join(scratch, "dim")
-    spark.range(5).write.parquet(folder)
-    assert has_at_most(spark.read.parquet(folder), 5)
-    spark.range(5).write.mode("append").parquet(folder)
-    assert not has_at_most(spark.read.parquet(folder), 5)
-
-
 def test_league_rank_methods_agree(spark):
     from pitchside.plans.queries import _fixtures, _teams
     d = "/root/testdata/sf0.01"
