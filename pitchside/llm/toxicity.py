@@ -53,11 +53,11 @@ def _subwords(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     marked = [f"<{w}>" for w in words]
     size = np.array([len(w) for w in marked], np.int64)
     codes = np.frombuffer("".join(marked).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-    owner = np.repeat(np.arange(len(words)), size)
+    owner = np.repeat(np.arange(len(words), dtype=np.int32), size)
     room = np.repeat(np.cumsum(size), size) - np.arange(len(codes))  # characters from here to the word's end
     mult, mix = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
-    ids = [np.array([zlib.crc32(w.encode("utf-8", "surrogatepass")) % BUCKETS for w in marked], np.int64)]
-    owners = [np.arange(len(words))]
+    ids = [np.array([zlib.crc32(w.encode("utf-8", "surrogatepass")) % BUCKETS for w in marked], np.int32)]
+    owners = [np.arange(len(words), dtype=np.int32)]
     h = codes
     for n in range(2, max(NGRAMS) + 1):
         if n > len(codes):
@@ -65,7 +65,7 @@ def _subwords(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         h = h[:-1] * mult + codes[n - 1:]
         if n in NGRAMS:
             here = np.flatnonzero(room[:len(h)] >= n)
-            ids.append((((h[here] + np.uint64(n)) * mix) >> np.uint64(33)).astype(np.int64) % BUCKETS)
+            ids.append((((h[here] + np.uint64(n)) * mix) >> np.uint64(33)).astype(np.int32) % BUCKETS)
             owners.append(owner[here])
     owners = np.concatenate(owners)
     order = np.argsort(owners, kind="stable")
@@ -88,7 +88,7 @@ def _spans(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 def _means(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Segment means of rows (every segment has a row)."""
-    return np.add.reduceat(values, offsets[:-1], axis=0) / np.diff(offsets)[:, None]
+    return np.add.reduceat(values, offsets[:-1], axis=0) / np.diff(offsets)[:, None].astype(values.dtype)
 
 
 class _Bags:
@@ -97,20 +97,23 @@ class _Bags:
     def __init__(self, words: list[str], flat: np.ndarray, offsets: np.ndarray, doc: np.ndarray):
         self.words, self.flat, self.offsets, self.doc = words, flat, offsets, doc
         self.sub, self.sub_at = _subwords(words)
-        self.of_bag = np.repeat(np.arange(len(doc)), np.diff(offsets))
-        self.of_word = np.repeat(np.arange(len(words)), np.diff(self.sub_at))
+        self.of_bag = np.repeat(np.arange(len(doc), dtype=np.int32), np.diff(offsets))
+        self.of_word = np.repeat(np.arange(len(words), dtype=np.int32), np.diff(self.sub_at))
 
     @classmethod
     def of(cls, texts: list[str]) -> _Bags:
         """All windows, without overlap: every word once."""
         vocab: dict[str, int] = {}
-        flat, offsets, doc = [], [0], []
+        flat, offsets, doc = [], [np.zeros(1, np.int64)], []
+        total = 0
         for d, text in enumerate(texts):
-            ids = [vocab.setdefault(_clean(t), len(vocab)) for t in _tokens(text)]
-            offsets += [len(flat) + min(s + WINDOW, len(ids)) for s in range(0, len(ids), WINDOW)]
-            doc += [d] * (len(offsets) - 1 - len(doc))
-            flat += ids
-        return cls(list(vocab), np.array(flat, np.int64), np.array(offsets, np.int64), np.array(doc, np.int64))
+            ids = np.array([vocab.setdefault(_clean(t), len(vocab)) for t in _tokens(text)], np.int32)
+            ends = np.minimum(np.arange(0, len(ids), WINDOW) + WINDOW, len(ids))
+            flat.append(ids)
+            offsets.append(total + ends)
+            doc.append(np.full(len(ends), d, np.int32))
+            total += len(ids)
+        return cls(list(vocab), *(np.concatenate(x) for x in (flat, offsets, doc)))
 
     def some(self, chosen: np.ndarray) -> _Bags:
         flat = self.flat[chosen[self.of_bag]]
@@ -125,7 +128,7 @@ class _Bags:
 def _start(bags: _Bags, label: np.ndarray) -> np.ndarray:
     """First direction of the embeddings: shrunken log odds of a bucket's words, by documents."""
     docs = len(label)
-    seen = np.unique(bags.flat * docs + bags.doc[bags.of_bag])
+    seen = np.unique(bags.flat.astype(np.int64) * docs + bags.doc[bags.of_bag])
     count = [np.bincount(bags.sub, np.bincount(seen // docs, label[seen % docs] == c, len(bags.words))[bags.of_word], BUCKETS)
              for c in (0, 1)]
     odds = np.log((count[1] + 2) / (count[1].sum() + 2)) - np.log((count[0] + 2) / (count[0].sum() + 2))
