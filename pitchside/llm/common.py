@@ -9,8 +9,10 @@ re-runs tasks.
 from __future__ import annotations
 
 import re
+import threading
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -33,13 +35,41 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def saved(df: DataFrame, label: str) -> DataFrame:
+class _Scopes(threading.local):
+    def __init__(self):
+        self.open: list[list[str]] = []
+
+
+_scopes = _Scopes()
+
+
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[None]:
+    """Tables saved in this block are deleted at its end, but for those saved with ``keep``."""
+    paths: list[str] = []
+    _scopes.open.append(paths)
+    try:
+        yield
+    finally:
+        _scopes.open.remove(paths)
+        for path in paths:
+            folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def saved(df: DataFrame, label: str, keep: bool = False) -> DataFrame:
     """Write ``df`` as Parquet into the shared checkpoint folder and read it back.
 
-    The result has no lineage but its files; its statistics are measured ones.
+    The result has no lineage but its files; its statistics are measured ones.  It
+    lives as long as the innermost :func:`temporary` block, or with ``keep`` as the
+    one around that; outside of any, as long as the folder.
     """
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/pitchside-{uuid.uuid4().hex}/{label}"
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/pitchside-{uuid.uuid4().hex}"
+    scopes = _scopes.open[:-1] if keep else _scopes.open
+    if scopes:
+        scopes[-1].append(folder)
+    path = f"{folder}/{label}"
     before = spark.conf.get(SHUFFLE_CLEANUP, None)
     spark.conf.set(SHUFFLE_CLEANUP, "true")  # the written table replaces the shuffle files
     try:
@@ -205,17 +235,18 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     def mark(e: DataFrame):
         return e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
 
-    e = saved(edges.where(F.col(a) != F.col(b)).select(
-        F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct(), "edges")
-    seen = mark(e)
-    while True:
-        e = star(star(e, True), False)
-        now = mark(e)
-        if now == seen:
-            break
-        seen = now
-    ends = e.select(F.col("u").alias("node"), F.col("v").alias("root"))
-    return ends.unionByName(ends.select(F.col("root").alias("node"), "root").distinct())
+    with temporary(edges.sparkSession):
+        e = saved(edges.where(F.col(a) != F.col(b)).select(
+            F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct(), "edges")
+        seen = mark(e)
+        while True:
+            e = star(star(e, True), False)
+            now = mark(e)
+            if now == seen:
+                break
+            seen = now
+        ends = e.select(F.col("u").alias("node"), F.col("v").alias("root"))
+        return saved(ends.unionByName(ends.select(F.col("root").alias("node"), "root").distinct()), "components", keep=True)
 
 
 class KeyTable:

@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved, sorted_totals
+from .common import saved, sorted_totals, temporary
 
 LENGTH = 400
 FINE = 16
@@ -166,20 +166,25 @@ def _strings(length: int):
     return run
 
 
+def _sizes(lists: pa.Array) -> np.ndarray:
+    return lists.value_lengths().fill_null(0).to_numpy().astype(np.int64)
+
+
 def _suffix_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Strings with the ranks of their sampled suffixes -> a row per suffix: its type (place mod 3),
     own rank, first two symbols and the ranks of the next two suffixes (0: none)."""
     names = ["sid", "i", "t", "own", "s0", "s1", "n1", "n2"]
     for b in batches:
-        for sid, sym, ranks in zip(b.column(0).to_pylist(), b.column(1), b.column(2)):
-            s = np.append(sym.values.to_numpy(), 0)
-            n = len(s) - 1
-            r = np.zeros(n + 2, np.int64)
-            if ranks.is_valid:
-                r[ranks.values.field("i").to_numpy()] = ranks.values.field("r").to_numpy()
-            i = np.arange(n)
-            cols = (np.full(n, sid), i.astype(np.int32), (i % 3).astype(np.int32), r[:n], s[:-1], s[1:], r[1:n + 1], r[2:])
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names)
+        n, known = _sizes(b.column(1)), _sizes(b.column(2))
+        start = np.cumsum(n + 2) - (n + 2)  # every string has two empty places at its end
+        i = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+        at = np.repeat(start, n) + i
+        s, r = np.zeros(int((n + 2).sum()), np.int64), np.zeros(int((n + 2).sum()), np.int64)
+        s[at] = b.column(1).flatten().to_numpy()
+        ranks = b.column(2).flatten()
+        r[np.repeat(start, known) + ranks.field("i").to_numpy()] = ranks.field("r").to_numpy()
+        cols = (np.repeat(b.column(0).to_numpy(), n), i.astype(np.int32), (i % 3).astype(np.int32), r[at], s[at], s[at + 1], r[at + 1], r[at + 2])
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names)
 
 
 def suffix_ranks(strings: DataFrame, need: int, depth: int = 1) -> DataFrame:
@@ -188,65 +193,67 @@ def suffix_ranks(strings: DataFrame, need: int, depth: int = 1) -> DataFrame:
 
     Suffixes that agree on ``need`` symbols may tie; the end of a string comes first.
     """
-    at = lambda k: F.coalesce(F.get("sym", F.col("i") + k), F.lit(0)).alias(f"s{k}")
-    triple = ["s0", "s1", "s2"]
-    sample = strings.select("sid", "sym", F.posexplode("sym").alias("i", "s")).where("i % 3 <> 0").select("sid", "i", at(0), at(1), at(2))
-    distinct = saved(sample.groupBy(*triple).agg(F.count(F.lit(1)).alias("n")), "triples")
-    names = saved(sorted_totals(distinct, triple, ["n"]).select(*triple, (F.col("before_n") + 1).alias("name"), "n"), "names")
-    named = saved(sample.join(names, triple).select("sid", "i", "name"), "named")
-    most = names.agg(F.max("n")).first()[0]
-    if most is None or most == 1 or 3 * depth >= need:
-        ranks = named.select("sid", "i", F.col("name").alias("r"))
-    else:
-        sub = named.groupBy((F.col("sid") * 2 + F.col("i") % 3 - 1).alias("sid")).agg(
-            F.transform(F.sort_array(F.collect_list(F.struct("i", "name"))), lambda x: x["name"]).alias("sym"))
-        deeper = suffix_ranks(saved(sub, "names-string"), need, 3 * depth)
-        ranks = deeper.select(F.shiftright("sid", 1).alias("sid"),
-                              (3 * F.col("i") + F.col("sid").bitwiseAND(F.lit(1)) + 1).cast("int").alias("i"), (F.col("r") + 1).alias("r"))
-    own = ranks.groupBy("sid").agg(F.collect_list(F.struct("i", "r")).alias("ranks"))
-    rows = saved(strings.select("sid", "sym").join(own, "sid", "left").select("sid", "sym", "ranks").mapInArrow(
-        _suffix_rows, "sid long, i int, t int, own long, s0 long, s1 long, n1 long, n2 long"), "suffixes")
-
-    def merged(other: int, keys: list[str], of_zero: list[str]) -> DataFrame:
-        """Suffixes of type 0 and ``other`` in one order, by a key that both have."""
-        some = rows.where(F.col("t").isin(0, other))
-        kinds = some.groupBy(*keys).agg(F.sum((F.col("t") == 0).cast("long")).alias("zero"),
-                                        F.sum((F.col("t") == other).cast("long")).alias("other"))
-        order = saved(sorted_totals(saved(kinds, "kinds"), keys, ["zero", "other"]).drop("zero", "other"), "order")
-        before = sum((F.col(f"before_{w}") for w in of_zero), F.lit(0))
-        return some.join(order, keys).select("sid", "i", F.when(F.col("t") == 0, before)
-                                             .otherwise(F.col("own") - 1 + F.col("before_zero")).alias("part"))
-
-    parts = merged(1, ["s0", "n1"], ["zero", "other"]).unionByName(merged(2, ["s0", "s1", "n2"], ["other"]))
-    return saved(parts.groupBy("sid", "i").agg(F.sum("part").alias("r")), "ranks")
+    with temporary(strings.sparkSession):
+        at = lambda k: F.coalesce(F.get("sym", F.col("i") + k), F.lit(0)).alias(f"s{k}")
+        triple = ["s0", "s1", "s2"]
+        sample = strings.select("sid", "sym", F.posexplode("sym").alias("i", "s")).where("i % 3 <> 0").select("sid", "i", at(0), at(1), at(2))
+        distinct = saved(sample.groupBy(*triple).agg(F.count(F.lit(1)).alias("n")), "triples")
+        names = sorted_totals(distinct, triple, ["n"]).select(*triple, (F.col("before_n") + 1).alias("name"))
+        named = saved(sample.join(names, triple).select("sid", "i", "name"), "named")
+        most = distinct.agg(F.max("n")).first()[0]
+        if most is None or most == 1 or 3 * depth >= need:
+            ranks = named.select("sid", "i", F.col("name").alias("r"))
+        else:
+            sub = named.groupBy((F.col("sid") * 2 + F.col("i") % 3 - 1).alias("sid")).agg(
+                F.transform(F.sort_array(F.collect_list(F.struct("i", "name"))), lambda x: x["name"]).alias("sym"))
+            deeper = suffix_ranks(saved(sub, "names-string"), need, 3 * depth)
+            ranks = deeper.select(F.shiftright("sid", 1).alias("sid"),
+                                  (3 * F.col("i") + F.col("sid").bitwiseAND(F.lit(1)) + 1).cast("int").alias("i"), (F.col("r") + 1).alias("r"))
+        own = ranks.groupBy("sid").agg(F.collect_list(F.struct("i", "r")).alias("ranks"))
+        rows = saved(strings.select("sid", "sym").join(own, "sid", "left").select("sid", "sym", "ranks").mapInArrow(
+            _suffix_rows, "sid long, i int, t int, own long, s0 long, s1 long, n1 long, n2 long"), "suffixes")
+
+        def merged(other: int, keys: list[str], of_zero: list[str]) -> DataFrame:
+            """Suffixes of type 0 and ``other`` in one order, by a key that both have."""
+            some = rows.where(F.col("t").isin(0, other))
+            kinds = some.groupBy(*keys).agg(F.sum((F.col("t") == 0).cast("long")).alias("zero"),
+                                            F.sum((F.col("t") == other).cast("long")).alias("other"))
+            order = sorted_totals(saved(kinds, "kinds"), keys, ["zero", "other"]).drop("zero", "other")
+            before = sum((F.col(f"before_{w}") for w in of_zero), F.lit(0))
+            return some.join(order, keys).select("sid", "i", F.when(F.col("t") == 0, before)
+                                                 .otherwise(F.col("own") - 1 + F.col("before_zero")).alias("part"))
+
+        parts = merged(1, ["s0", "n1"], ["zero", "other"]).unionByName(merged(2, ["s0", "s1", "n2"], ["other"]))
+        return saved(parts.groupBy("sid", "i").agg(F.sum("part").alias("r")), "ranks", keep=True)
 
 
 def covered_samples(strings: DataFrame, need: int) -> DataFrame:
     """(sid, i) of the samples of which a neighbour in the suffix order shares the m symbols."""
-    ranks = suffix_ranks(strings.select("sid", "sym"), need)
-    keyed = strings.select("sid", F.posexplode(F.arrays_zip("m", "v")).alias("i", "x")).where("x.m > 0").select("sid", "i", "x.v")
-    keyed = saved(keyed.join(ranks, ["sid", "i"]), "prefixes")
-    entries = saved(keyed.groupBy("r", "v").agg(F.count(F.lit(1)).alias("n")).withColumn("one", F.lit(1).cast("long")), "entries")
-    order = saved(sorted_totals(entries, ["r", "v"], ["one"]).select("r", "v", "n", F.col("before_one").alias("place")), "places")
-    near = order.select((F.col("place") + 1).alias("place"), F.col("v").alias("near_v"))
-    equal = saved(order.join(near, "place").where("v = near_v").select("place"), "equal-neighbours")
-    shared = order.where("n > 1").select("place").unionByName(equal).unionByName(equal.select((F.col("place") - 1).alias("place"))).distinct()
-    return keyed.join(order.join(shared, "place").select("r", "v"), ["r", "v"]).select("sid", "i")
+    with temporary(strings.sparkSession):
+        ranks = suffix_ranks(strings.select("sid", "sym"), need)
+        keyed = strings.select("sid", F.posexplode(F.arrays_zip("m", "v")).alias("i", "x")).where("x.m > 0").select("sid", "i", "x.v")
+        keyed = saved(keyed.join(ranks, ["sid", "i"]), "prefixes")
+        entries = saved(keyed.groupBy("r", "v").agg(F.count(F.lit(1)).alias("n")).withColumn("one", F.lit(1).cast("long")), "entries")
+        order = saved(sorted_totals(entries, ["r", "v"], ["one"]).select("r", "v", "n", F.col("before_one").alias("place")), "places")
+        near = order.select((F.col("place") + 1).alias("place"), F.col("v").alias("near_v"))
+        equal = saved(order.join(near, "place").where("v = near_v").select("place"), "equal-neighbours")
+        shared = order.where("n > 1").select("place").unionByName(equal).unionByName(equal.select((F.col("place") - 1).alias("place"))).distinct()
+        return saved(keyed.join(order.join(shared, "place").select("r", "v"), ["r", "v"]).select("sid", "i"), "covered", keep=True)
 
 
 def _open(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(tid, pos, sym, covered) of strings -> (tid, pos, sym, open, until): open: the byte suffixes before
     the sample are undecided; until: those from the sample up to there repeat (-1: none shown)."""
     for b in batches:
-        for tid, pos, sym, hit in zip(b.column(0).to_pylist(), b.column(1), b.column(2), b.column(3)):
-            p = pos.values.to_numpy()
-            on = np.zeros(len(p), bool)
-            if hit.is_valid:
-                on[hit.values.to_numpy()] = True
-            until = np.where(on, np.append(p[1:], -1), -1)
-            yield pa.RecordBatch.from_arrays([
-                pa.array(np.full(len(p), tid)), pa.array(p), sym.values, pa.array(~np.append(False, on[:-1])),
-                pa.array(until.astype(np.int32))], ["tid", "pos", "sym", "open", "until"])
+        n, hits = _sizes(b.column(1)), _sizes(b.column(3))
+        pos, sym = b.column(1).flatten().to_numpy(), b.column(2).flatten()
+        on = np.zeros(len(pos), bool)
+        on[np.repeat(np.cumsum(n) - n, hits) + b.column(3).flatten().to_numpy()] = True
+        # the last sample of a string is never covered, so neighbours in the arrays are neighbours in a string
+        until = np.where(on, np.append(pos[1:], -1)[:len(pos)], -1).astype(np.int32)
+        yield pa.RecordBatch.from_arrays([
+            pa.array(np.repeat(b.column(0).to_numpy(), n)), pa.array(pos), sym,
+            pa.array(~np.append(False, on[:-1])[:len(pos)]), pa.array(until)], ["tid", "pos", "sym", "open", "until"])
 
 
 _BLOCK_SCHEMA = "core long, h1 long, h2 long, tid long, last int, low int, high int"
@@ -310,53 +317,56 @@ def _removal(length: int):
 def repeated_starts(texts: DataFrame, length: int) -> DataFrame:
     """(tid, low, high): intervals of byte positions from which ``length`` bytes repeat;
     ``texts`` (tid, text) are distinct texts of ``length`` bytes or more."""
-    w = grid(length)[1]
-    parsed = saved(texts.select("tid", "text").mapInArrow(_parse(length), "tid long, pos array<int>, sym array<long>"), "parsed")
-    repeated = saved(parsed.select(F.explode("sym").alias("sym")).groupBy("sym").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("sym"),
-                     "repeated")
-    marks = parsed.select("tid", F.posexplode(F.arrays_zip("pos", "sym")).alias("i", "x")).select("tid", "i", "x.pos", "x.sym").join(repeated, "sym")
-    marks = marks.groupBy("tid").agg(F.sort_array(F.collect_list(F.struct("i", "pos", "sym"))).alias("marks"))
-    strings = saved(marks.mapInArrow(_strings(length), "tid long, pos array<int>, sym array<long>, m array<int>, v array<long>")
-                    .withColumn("sid", F.monotonically_increasing_id()), "strings")
-    need = strings.agg(F.max(F.array_max("m"))).first()[0] or 0
-    covered = covered_samples(strings, need).groupBy("sid").agg(F.collect_list("i").alias("covered"))
-    state = saved(strings.join(covered, "sid", "left").select("tid", "pos", "sym", "covered").mapInArrow(
-        _open, "tid long, pos int, sym long, open boolean, until int"), "samples")
-    found = [state.where("until >= 0").select("tid", F.col("pos").alias("low"), F.col("until").alias("high"))]
-
-    wanted = saved(state.where("open").select("sym").distinct(), "open-symbols")
-    asked = state.join(wanted, "sym").select("tid", F.col("pos").alias("last"))
-    sizes = [w, FINE, 1] if w > FINE else [w, 1]
-    for span, size in zip([w, *sizes], sizes):
-        lists = asked.groupBy("tid").agg(F.collect_set("last").alias("asked"))
-        rows = saved(texts.select("tid", "text").join(lists, "tid").select("tid", "text", "asked")
-                     .mapInArrow(_blocks(length, span, size), _BLOCK_SCHEMA), f"blocks-{size}")
-        unions = saved(rows.groupBy("core", "h1", "h2").agg(
-            F.min(F.struct("tid", "low")).alias("first"), F.max(F.struct("tid", "low")).alias("end"),
-            F.min(F.struct("tid", "last")).alias("one")), f"unions-{size}")
-        twice = unions.groupBy("h1", "h2").agg(F.min("first").alias("first"), F.max("end").alias("end")).where("first <> end").select("h1", "h2")
-        found.append(rows.join(saved(twice, f"twice-{size}"), ["h1", "h2"]).select("tid", "low", "high"))
-        if size == 1:
-            break
-        # cores shared by different unions, one of them single: look closer at one block of each union
-        cores = saved(unions.groupBy("core").agg(F.count(F.lit(1)).alias("unions"), F.max((F.col("first") == F.col("end")).cast("int")).alias("single"))
-                      .where("unions > 1 and single = 1").select("core"), f"cores-{size}")
-        asked = unions.join(cores, "core").select("one.tid", "one.last")
-    out = found[0]
-    for more in found[1:]:
-        out = out.unionByName(more)
-    return saved(out, "repeated-starts")
+    with temporary(texts.sparkSession):
+        w = grid(length)[1]
+        with temporary(texts.sparkSession):
+            parsed = saved(texts.select("tid", "text").mapInArrow(_parse(length), "tid long, pos array<int>, sym array<long>"), "parsed")
+            repeated = saved(parsed.select(F.explode("sym").alias("sym")).groupBy("sym").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("sym"),
+                             "repeated")
+            marks = parsed.select("tid", F.posexplode(F.arrays_zip("pos", "sym")).alias("i", "x")).select("tid", "i", "x.pos", "x.sym").join(repeated, "sym")
+            marks = marks.groupBy("tid").agg(F.sort_array(F.collect_list(F.struct("i", "pos", "sym"))).alias("marks"))
+            strings = saved(marks.mapInArrow(_strings(length), "tid long, pos array<int>, sym array<long>, m array<int>, v array<long>")
+                            .withColumn("sid", F.monotonically_increasing_id()), "strings", keep=True)
+        need = strings.agg(F.max(F.array_max("m"))).first()[0] or 0
+        covered = covered_samples(strings, need).groupBy("sid").agg(F.collect_list("i").alias("covered"))
+        state = saved(strings.join(covered, "sid", "left").select("tid", "pos", "sym", "covered").mapInArrow(
+            _open, "tid long, pos int, sym long, open boolean, until int"), "samples")
+        found = [state.where("until >= 0").select("tid", F.col("pos").alias("low"), F.col("until").alias("high"))]
+
+        wanted = saved(state.where("open").select("sym").distinct(), "open-symbols")
+        asked = state.join(wanted, "sym").select("tid", F.col("pos").alias("last"))
+        sizes = [w, FINE, 1] if w > FINE else [w, 1]
+        for span, size in zip([w, *sizes], sizes):
+            lists = asked.groupBy("tid").agg(F.collect_set("last").alias("asked"))
+            rows = saved(texts.select("tid", "text").join(lists, "tid").select("tid", "text", "asked")
+                         .mapInArrow(_blocks(length, span, size), _BLOCK_SCHEMA), f"blocks-{size}")
+            unions = saved(rows.groupBy("core", "h1", "h2").agg(
+                F.min(F.struct("tid", "low")).alias("first"), F.max(F.struct("tid", "low")).alias("end"),
+                F.min(F.struct("tid", "last")).alias("one")), f"unions-{size}")
+            twice = unions.groupBy("h1", "h2").agg(F.min("first").alias("first"), F.max("end").alias("end")).where("first <> end").select("h1", "h2")
+            found.append(rows.join(saved(twice, f"twice-{size}"), ["h1", "h2"]).select("tid", "low", "high"))
+            if size == 1:
+                break
+            # cores shared by different unions, one of them single: look closer at one block of each union
+            cores = saved(unions.groupBy("core").agg(F.count(F.lit(1)).alias("unions"), F.max((F.col("first") == F.col("end")).cast("int")).alias("single"))
+                          .where("unions > 1 and single = 1").select("core"), f"cores-{size}")
+            asked = unions.join(cores, "core").select("one.tid", "one.last")
+        out = found[0]
+        for more in found[1:]:
+            out = out.unionByName(more)
+        return saved(out, "repeated-starts", keep=True)
 
 
 def removed_bytes(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of every row of ``docs``."""
     text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
     rows = docs.select("doc_id", text.alias("text")).withColumn("digest", F.unhex(F.md5("text")))
-    texts = saved(rows.groupBy("digest").agg(F.count(F.lit(1)).alias("copies"), F.first("text").alias("text"))
-                  .withColumn("tid", F.monotonically_increasing_id()), "texts")  # written, so a tid is one text's for good
-    starts = repeated_starts(texts.where(F.octet_length("text") >= length), length)
-    spans = starts.groupBy("tid").agg(F.collect_list(F.struct("low", "high")).alias("spans"))
-    result = saved(texts.join(spans, "tid", "left").select("digest", "text", "copies", "spans").mapInArrow(
-        _removal(length), "digest binary, n_removed long, n_spans long, kept_sha256 string"), "removed")
+    with temporary(docs.sparkSession):
+        texts = saved(rows.groupBy("digest").agg(F.count(F.lit(1)).alias("copies"), F.first("text").alias("text"))
+                      .withColumn("tid", F.monotonically_increasing_id()), "texts")  # written, so a tid is one text's for good
+        starts = repeated_starts(texts.where(F.octet_length("text") >= length), length)
+        spans = starts.groupBy("tid").agg(F.collect_list(F.struct("low", "high")).alias("spans"))
+        result = saved(texts.join(spans, "tid", "left").select("digest", "text", "copies", "spans").mapInArrow(
+            _removal(length), "digest binary, n_removed long, n_spans long, kept_sha256 string"), "removed", keep=True)
     return rows.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), "digest").join(result, "digest").select(
         "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
