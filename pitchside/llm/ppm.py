@@ -202,7 +202,7 @@ def _asked(order: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, strings, words, held = None, [], set(), 0
         for b in batches:
-            for chunk, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            for chunk, text in zip(b.column("chunk").to_pylist(), b.column("text").to_pylist()):
                 if chunk != now:
                     yield from keys(now, strings, words)
                     now, strings, words, held = chunk, [], set(), 0
@@ -285,7 +285,8 @@ def score_documents(docs: DataFrame, held_out: Column, order: int = ORDER) -> Da
     log_base = float(np.log10(total + sums["distinct"] + int(ends > 0) + 1))
     chunks = max(-(-size.bytes // CHUNK), int(spark.conf.get("spark.sql.shuffle.partitions")))
     dealt = rows.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks))).repartition("chunk")
-    asked = dealt.sortWithinPartitions("chunk").select("chunk", "text").mapInArrow(_asked(order), "chunk long, kind int, key long")
+    # all columns, so that both uses of the dealt documents are one exchange
+    asked = dealt.sortWithinPartitions("chunk").mapInArrow(_asked(order), "chunk long, kind int, key long")
     blank = [F.lit(None).cast("long").alias(c) for c in ("t", "d", "rest_t", "rest_d")]
     known = words.select("kind", "key", "c", *blank).unionByName(nodes)
     answers = asked.join(known, ["kind", "key"]).select("chunk", "kind", "key", "c", "t", "d", "rest_t", "rest_d")
