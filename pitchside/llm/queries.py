@@ -4,15 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, ppm
+from . import mixing, ppm, vector_codes
 from .common import held_out, table
 from .decontam import find_leaks
 from .embed_dedup import embedding_components
 from .langid import identify_documents
 from .line_dedup import line_report
+from .packing import pack_documents
+from .runs import find_runs, repeat_tails
 from .sharding import shard_documents
 from .simhash import simhash_components
 from .suffix_dedup import removed_bytes
@@ -67,11 +70,32 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", repeat_tails("doc_id", "text").alias("text"))
+    out = find_runs(docs, keep=["doc_id"], least=4, shortest=6)
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r.start, r.length, r.period))
+    listing = F.when(F.size("runs") > 0, F.concat(F.array_join(lines, "\n"), F.lit("\n"))).otherwise(F.lit(""))
+    return out.select("doc_id", F.size("runs").cast("long").alias("n_runs"), "top.start", "top.length", "top.period",
+                      F.expr("1000 * top.length div top.period").alias("exponent_milli"),
+                      F.sha2(listing.cast("binary"), 256).alias("runs_sha256"),
+                      F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
+def op12_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), keep=["doc_id"],
+                          end_id=2, capacity=1024)
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compression_report(table(spark, sf_dir, "embeddings"), parts=16, entries=64, rounds=2)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_decontamination, op2_line_dedup, op3_toxicity, op4_suffix_array_dedup, op5_sharding, op6_language_id,
-        op7_lm_scoring, op8_embedding_near_dedup, op9_mixing, op10_simhash_near_dedup)}
+        op7_lm_scoring, op8_embedding_near_dedup, op9_mixing, op10_simhash_near_dedup,
+        op11_periodic_runs, op12_best_fit_packing, op13_vector_codes)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_mixing": mixing.ORACLE_SQL}
+    return {"op9_mixing": mixing.ORACLE_SQL, "op13_vector_codes": vector_codes.ORACLE_SQL}
