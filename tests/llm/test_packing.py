@@ -86,11 +86,22 @@ def test_ids_are_those_of_the_whole_text(spark):
     for chars in (K.PIECE_CHARS, 40):
         before, K.PIECE_CHARS = K.PIECE_CHARS, chars
         try:
-            assert [i.tolist() for i in K.Encoder(PATH).encode(texts)] == plain_ids(texts)
+            encoder = K.Encoder(PATH)
+            assert [encoder.encode(t).tolist() for t in texts] == plain_ids(texts) and encoder.core
         finally:
             K.PIECE_CHARS = before
-    other = public_tokenizers.path("word_bpe_49k.json")  # not byte-level: whole texts
-    assert [i.tolist() for i in K.Encoder(other).encode(texts[:50])] == plain_ids(texts[:50], other)
+    other = public_tokenizers.path("word_bpe_49k.json")  # not byte-level
+    encoder = K.Encoder(other)
+    assert [encoder.encode(t).tolist() for t in texts[:50]] == plain_ids(texts[:50], other) and not encoder.core
+
+
+def test_every_character_is_cut_alike():
+    points = [c for c in range(1, 0x110000) if not 0xD800 <= c < 0xE000]
+    encoder = K.Encoder(PATH)
+    for s in range(0, len(points), 1 << 14):
+        texts = [f"a{chr(c)}b {chr(c)}1{chr(c)} {chr(c)}." for c in points[s:s + (1 << 14)]]
+        differ = [t for t, ids in zip(texts, plain_ids(texts)) if encoder.encode(t).tolist() != ids]
+        assert not differ, differ[:5]
 
 
 def check(rows, docs, capacity=1024, end_id=2):
