@@ -108,8 +108,8 @@ def _merge_core(parts: dict):
     if None in single or merged != sorted(merged) or max(single) > min(merged, default=1 << 31):
         return None
     import tiktoken
-    tokens = {token: i for token, i in model["vocab"].items() if i in set(single) | set(merged)}
-    ranks = {bytes(names[c] for c in token): i for token, i in tokens.items()}
+    used = {*single, *merged}
+    ranks = {bytes(names[c] for c in token): i for token, i in model["vocab"].items() if i in used}
     return tiktoken.Encoding("byte-level", pat_str=BYTE_LEVEL, mergeable_ranks=ranks, special_tokens={})
 
 
