@@ -12,6 +12,10 @@ keeps, per key, the row that is greatest by the caller's order, ties broken by
 a hash of all columns so the choice is deterministic; it is a grouped
 ``max_by`` (partial on the map side), so a hot key never gathers in one task.
 
+``newer`` names a column that orders the versions of a row (e.g. its landing time): a source
+row that is older than the target row of its key changes nothing, so loads may come in
+any order.
+
 Null keys never match anything.  They are rejected by default, because a
 rerun would append them again.
 
@@ -60,7 +64,7 @@ def latest_per_key(source: DataFrame, keys: list[str], order_by: list[str]) -> D
 
 def upsert(target: DataFrame, source: DataFrame, keys: list[str],
            on_duplicate: str = "error", order_by: list[str] | None = None,
-           allow_null_keys: bool = False) -> DataFrame:
+           allow_null_keys: bool = False, newer: str | None = None) -> DataFrame:
     if on_duplicate == "latest":
         if not order_by:
             raise ValueError("on_duplicate='latest' needs order_by")
@@ -72,6 +76,8 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str],
     rest = [c for c in target.columns if c not in keys]
     new = source.select(*keys, *[F.col(c).alias(f"_new_{c}") for c in rest], F.lit(True).alias("_new"))
     both = target.join(new, keys, "full")
+    if newer is not None:  # a stored row without a version, like an absent one, is the older one
+        both = both.withColumn("_new", F.col("_new") & F.coalesce(F.col(f"_new_{newer}") >= F.col(newer), F.lit(True)))
     return both.selectExpr(*[q(c) if c in keys else f"if(_new, {q(f'_new_{c}')}, {q(c)}) as {q(c)}" for c in target.columns])
 
 

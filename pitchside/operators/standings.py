@@ -226,8 +226,12 @@ def league_table(fixtures: DataFrame, teams: DataFrame, rank: str = "window") ->
 
 def league_from_scored(scored: DataFrame, teams: DataFrame, rank: str = "window") -> DataFrame:
     """The league table from scored fixture rows (e.g. a stored ``fixture_info``)."""
-    agg = team_aggregate(team_sides(scored)) \
-        .filter(_played_both_ways() & (F.col("decided_games") > 0))
+    return league_from_sums(team_aggregate(team_sides(scored)), teams, rank)
+
+
+def league_from_sums(sums: DataFrame, teams: DataFrame, rank: str = "window") -> DataFrame:
+    """The league table from every team's measures (``team_aggregate``, or maintained ones)."""
+    agg = sums.filter(_played_both_ways() & (F.col("decided_games") > 0))
     table = _goal_totals(_result_totals(agg)).selectExpr(
         "*", "home_points + away_points as total_points")
     if rank == "window":

@@ -26,8 +26,9 @@ from ..session import ensure_checkpoint_dir
 from ..operators import gameweeks as GW
 from ..operators import players as PL
 from ..operators import standings as ST
+from ..operators.difference import stage_changes
 from ..sinks.files import with_row_index, write_csv, write_snapshot
-from ..sinks.tables import TableStore
+from ..sinks.tables import CommitConflict, TableStore
 from ..sources import snapshot as SN
 
 
@@ -60,8 +61,7 @@ def fixture_job(spark: SparkSession, landing: Landing, store: TableStore,
     fixtures = SN.newest_landed(_parsed_once(spark, SN.scan_fixtures(
         SN.read_fixture_pages(spark, landing.fixtures, landing.multi_line, landing.strict, landed=True),
         gameweeks, landing.strict, keep=[SN.LANDED])), "id")
-    v_fix = store.stage_refresh("fixture_info", ST.fixture_info(fixtures), SC.FIXTURE_INFO)
-    info = spark.read.schema(SC.FIXTURE_INFO).parquet(store.path("fixture_info", v_fix))
+    info = ST.fixture_info(fixtures)
     table = ST.league_from_scored(info, teams)
     v_team = store.stage_upsert("team_info", table, SC.TEAM_INFO_KEY, SC.TEAM_INFO)
     if csv_base:
@@ -70,7 +70,14 @@ def fixture_job(spark: SparkSession, landing: Landing, store: TableStore,
                        f"{csv_base}/team_data", snapshot_date or dt.date.today())
         write_snapshot(ST.score_fixtures(ST.fixture_frame(fixtures)),
                        f"{csv_base}/gameweek_fixtures", snapshot_date or dt.date.today())
-    return store.commit({"fixture_info": v_fix, "team_info": v_team})
+    # Partitioned by gameweek: only gameweeks whose rows differ from the stored ones are written.
+    while True:
+        seq = store.state()["seq"]
+        try:
+            return store.commit({"fixture_info": stage_changes(store, "fixture_info", info, SC.FIXTURE_INFO, "gameweek_id"),
+                                 "team_info": v_team}, base_seq=seq)
+        except CommitConflict:  # another run has published: compare with what it wrote
+            v_team = store.stage_upsert("team_info", table, SC.TEAM_INFO_KEY, SC.TEAM_INFO)
 
 
 def player_job(spark: SparkSession, landing: Landing, store: TableStore,

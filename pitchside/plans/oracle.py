@@ -542,7 +542,23 @@ def _upsert_player_gw() -> str:
     return sql(upsert_sql("t_latest", "source", SC.PLAYER_GW_STATS_KEY, SC.names(SC.PLAYER_GW_STATS)), *ctes)
 
 
+def _refresh_gameweeks() -> str:
+    older = """select * replace (case when gameweek_id % 5 = 0 and home_team_id = 3 then "minutes" + 1 else "minutes" end as "minutes")
+from fixture_info where gameweek_id <> 7"""
+    differ = """select gameweek_id from (select * from older except all select * from newer)
+union select gameweek_id from (select * from newer except all select * from older)"""
+    return sql("""
+select gameweek_id, case when rows_before = 0 then 'new' when rows_after = 0 then 'gone' else 'changed' end as change,
+       rows_before, rows_after
+from (select gameweek_id, (select count(*) from older o where o.gameweek_id = d.gameweek_id) as rows_before,
+             (select count(*) from newer n where n.gameweek_id = d.gameweek_id) as rows_after from differ d)""",
+               *standings_ctes()[:3], ("older", older), ("newer", "select * from fixture_info where gameweek_id <> 11"), ("differ", differ))
+
+
 ORACLES.update({
+    "league_incremental": ORACLES["league_table"],
+    "json_discover": ORACLES["json_flatten"],
+    "refresh_gameweeks": _refresh_gameweeks(),
     "upsert_team": _upsert_team(),
     "upsert_player": _upsert_player(),
     "upsert_gameweek": _upsert_gameweek(),

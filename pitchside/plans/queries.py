@@ -19,11 +19,14 @@ from pyspark.sql import types as T
 
 from .. import schemas as SC
 from ..operators import columns as CO
+from ..operators import difference as DF
 from ..operators import gameweeks as GW
+from ..operators import maintained as MT
 from ..operators import merge as MG
 from ..operators import players as PL
 from ..operators import standings as ST
 from ..operators.joins import join_full_outer
+from ..sources import discover as DC
 from ..sources import snapshot as SN
 from ..sources import testdata as TD
 from . import oracle as OR
@@ -145,6 +148,26 @@ def refresh_fixtures(spark, d):
     return MG.refresh(target, scored)
 
 
+def refresh_gameweeks(spark, d):
+    """The gameweeks that a refresh has to rewrite: some were changed, one is new, one is gone."""
+    info = fixture_info(spark, d)
+    older = info.where(F.col("gameweek_id") != 7).withColumn("minutes", F.when(
+        (F.col("gameweek_id") % 5 == 0) & (F.col("home_team_id") == 3), F.col("minutes") + 1).otherwise(F.col("minutes")))
+    return DF.changed_groups(older, info.where(F.col("gameweek_id") != 11), "gameweek_id")
+
+
+def league_incremental(spark, d):
+    """The league kept current: an earlier load's sums, then a later load of which many fixtures
+    replace earlier ones that had other scores."""
+    fixtures = _fixtures(spark, d)
+    stored = fixtures.filter(_before("kickoff_time", OR.FIXTURE_CUTOFF)).withColumn("team_h_score", F.when(
+        _since("kickoff_time", OR.FIXTURE_SOURCE_FROM), F.col("team_h_score") + 1).otherwise(F.col("team_h_score")))
+    changed = fixtures.filter(_since("kickoff_time", OR.FIXTURE_SOURCE_FROM))
+    old, new = MT.replaced_rows(stored, changed, ["id"])
+    sums = MT.apply_changes(MT.team_sums(ST.fixture_frame(stored)), ST.fixture_frame(old), ST.fixture_frame(new))
+    return ST.league_from_sums(sums, _teams(spark, d))
+
+
 def staging_conform(spark, d):
     frame = CO.rename(_history(spark, d), GW.HISTORY_RENAMES)
     return MG.conform_to(SC.PLAYER_GW_STATS, frame)
@@ -182,6 +205,10 @@ def json_flatten(spark, d):
     return SN.json_flatten(parsed, sep="_")
 
 
+def json_discover(spark, d):
+    return DC.json_discover(TD.table(spark, d, "events"), "props", sep="_")
+
+
 def union_pages(spark, d):
     """History pages landed before the API had ``expected_goals`` union the newer
     pages that have it: aligned by name, the missing field is null."""
@@ -305,6 +332,8 @@ QUERIES: dict[str, Query] = {
     "join_team_dim": join_team_dim,
     "rank_max": rank_max,
     "refresh_fixtures": refresh_fixtures,
+    "refresh_gameweeks": refresh_gameweeks,
+    "league_incremental": league_incremental,
     "staging_conform": staging_conform,
     # scans
     "scan_teams": scan_teams,
@@ -314,6 +343,7 @@ QUERIES: dict[str, Query] = {
     "scan_gameweeks": scan_gameweeks,
     "scan_history": scan_history,
     "json_flatten": json_flatten,
+    "json_discover": json_discover,
     "union_pages": union_pages,
     # projections and players
     "project_rename": project_rename,

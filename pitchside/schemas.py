@@ -158,3 +158,7 @@ def parsed(schema: T.StructType) -> T.StructType:
 
 def names(schema: T.StructType) -> list[str]:
     return [f.name for f in schema.fields]
+
+#: The published tables; a partitioned one is read with its schema (its partition column has no stored type).
+RESULT_TABLES = {"fixture_info": FIXTURE_INFO, "team_info": TEAM_INFO, "player_info": PLAYER_INFO,
+                 "player_gw_stats": PLAYER_GW_STATS, "gw_stats": GW_STATS}

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from .. import schemas as SC
 from .tables import TableStore
 
 
@@ -27,4 +28,6 @@ def write_jdbc(df: DataFrame, url: str, table: str, properties: dict | None = No
 def publish(store: TableStore, tables: list[str], url: str, properties: dict | None = None) -> None:
     """Replace the database tables by the published versions of ``tables``."""
     for table in tables:
-        write_jdbc(store.read(table), url, table, properties, mode="overwrite")
+        schema = SC.RESULT_TABLES.get(table)
+        df = store.read(table, schema)
+        write_jdbc(df.select(*schema.names) if schema else df, url, table, properties, mode="overwrite")

@@ -1,0 +1,77 @@
+"""Columns found in the data: nested pages, type conflicts, odd names."""
+
+import json
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import write_pages
+from pitchside.sources import discover as DC
+
+
+def discovered(spark, docs, **kw):
+    df = spark.createDataFrame([(i, d if d is None or isinstance(d, str) else json.dumps(d)) for i, d in enumerate(docs)], "id long, j string")
+    out = DC.json_discover(df, "j", **{"prefix": False, **kw})
+    return dict(out.drop("id").dtypes), [r.asDict(True) for r in out.orderBy("id").drop("id").collect()]
+
+
+def test_nested_objects_become_columns_and_arrays_stay(spark):
+    types, rows = discovered(spark, [{"a": 1, "b": {"c": {"d": "x"}, "e": [1, 2]}}, {"b": {"c": {"f": True}}, "g": 2.5}])
+    assert types == {"a": "bigint", "b.c.d": "string", "b.c.f": "boolean", "b.e": "array<bigint>", "g": "double"}
+    assert rows == [{"a": 1, "b.c.d": "x", "b.c.f": None, "b.e": [1, 2], "g": None},
+                    {"a": None, "b.c.d": None, "b.c.f": True, "b.e": None, "g": 2.5}]
+
+
+def test_type_conflicts_and_widening(spark):
+    types, rows = discovered(spark, [
+        {"n": 1, "m": 1, "o": {"x": 1}, "l": [1, "a"], "z": None, "big": 10 ** 25, "s": [{"u": 1}], "e": {}},
+        {"n": 2.5, "m": "two", "o": 7, "l": [{"k": 1}], "z": None, "big": 1, "s": [{"v": [True]}], "e": {}}])
+    assert types == {"n": "double", "m": "string", "o": "string", "l": "array<string>", "z": "string", "big": "decimal(26,0)",
+                     "s": "array<struct<u:bigint,v:array<boolean>>>"}
+    assert rows[0] == {"n": 1.0, "m": "1", "o": '{"x":1}', "l": ["1", "a"], "z": None, "big": 10 ** 25, "s": [{"u": 1, "v": None}]}
+    assert rows[1] == {"n": 2.5, "m": "two", "o": "7", "l": ['{"k":1}'], "z": None, "big": 1, "s": [{"u": None, "v": [True]}]}
+
+
+def test_odd_names(spark):
+    types, rows = discovered(spark, [{"a b": 1, "q's": {"x.y": 2}, "OBJECT<": 3, "d\"q": 4, "t`k": 5, "both": {"'\"": 6}, "é": {"": 7}}])
+    assert rows == [{"a b": 1, "q's.x.y": 2, "OBJECT<": 3, 'd"q': 4, "t`k": 5, "both": '{"\'\\"":6}', "é": '{"":7}'}]
+    with pytest.raises(ValueError, match="a.b"):
+        discovered(spark, [{"a": {"b": 1}, "a.b": 2}])
+    with pytest.raises(ValueError, match="field names hold data"):
+        discovered(spark, [{f"id{i}": 1} for i in range(30)], max_columns=20)
+
+
+def test_rows_without_objects(spark):
+    assert discovered(spark, [None, None]) == ({"j": "string"}, [{"j": None}, {"j": None}])
+    assert discovered(spark, []) == ({"j": "string"}, [])
+    assert discovered(spark, [[1, 2], [3]]) == ({"j": "array<bigint>"}, [{"j": [1, 2]}, {"j": [3]}])
+    assert discovered(spark, [None, {"a": None}, {"a": 1}], prefix=True) == ({"j.a": "bigint"}, [{"j.a": None}, {"j.a": None}, {"j.a": 1}])
+    with pytest.raises(Exception, match="MALFORMED"):
+        discovered(spark, ["{oops"])
+
+
+def test_one_aggregate_and_native_plan(spark):
+    df = spark.range(1000).select(F.to_json(F.struct("id", F.struct(F.col("id").alias("x")).alias("s"))).alias("j"))
+    spark.sparkContext.setJobGroup("discover", "discover")
+    out = DC.json_discover(df, "j", prefix=False)
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("discover")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert 1 <= len(jobs) <= 2  # one aggregate (its stages may be jobs of their own)
+    assert out.columns == ["id", "s.x"] and out.agg(F.sum("`s.x`")).first()[0] == 499500
+
+
+def test_landed_pages(spark, scratch):
+    pages = write_pages(os.path.join(scratch, "fixtures"), {
+        "e1.json": [{"id": 1, "team": {"h": 1, "a": 2}, "stats": []}, {"id": 2, "new_field": "x"}],
+        "e2.json": [{"id": 3, "team": {"h": "third"}, "stats": [{"v": 1}]}], "e3.json": []})
+    out = DC.read_discovered(spark, pages)
+    assert dict(out.dtypes) == {"id": "bigint", "new_field": "string", "stats": "array<struct<v:bigint>>", "team.a": "bigint", "team.h": "string"}
+    assert sorted((r["id"], r["team.h"], r["new_field"]) for r in out.collect()) == [(1, "1", None), (2, None, "x"), (3, "third", None)]
+    boot = write_pages(os.path.join(scratch, "boot"), {"b.json": {"teams": [{"id": 1, "pulse": {"k": 2}}, {"id": 2}], "other": 1}})
+    assert sorted(map(tuple, DC.read_discovered(spark, boot, "teams", sep="_").select("id", "pulse_k").collect())) == [(1, 2), (2, None)]
+    assert DC.read_discovered(spark, boot, "absent").count() == 0
+    with open(os.path.join(pages, "cut.json"), "w") as f:
+        f.write('[{"id": 4}, {"id"')
+    with pytest.raises(Exception, match="(?i)malformed|parse"):
+        DC.read_discovered(spark, pages).collect()

@@ -12,6 +12,10 @@ from conftest import SF_SMALL
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
 
+#: Queries whose columns are found in the data: an aggregate has to run first.
+DISCOVERING = {"json_discover"}
+
+
 def entry_module():
     spec = importlib.util.spec_from_file_location("spark_entry", os.path.join(ROOT, "__spark_entry__.py"))
     mod = importlib.util.module_from_spec(spec)
@@ -81,6 +85,8 @@ def test_upsert_is_one_pass(spark):
 def test_no_job_while_a_plan_is_built(spark):
     tracker = spark.sparkContext.statusTracker()
     for name, fn in entry_module()._queries().items():
+        if name in DISCOVERING:
+            continue
         spark.sparkContext.setJobGroup(f"build-{name}", name)
         fn(spark, SF_SMALL)
         assert not tracker.getJobIdsForGroup(f"build-{name}"), name
