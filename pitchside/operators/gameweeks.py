@@ -63,6 +63,22 @@ def gameweek_counts(frame: DataFrame, key: str = "gameweek_id") -> DataFrame:
         .agg(*[F.count(F.col(c)).alias(c) for c in others])
 
 
+def crosstab(frame: DataFrame, key: str, column: str, max_values: int = 200) -> DataFrame:
+    """Rows per ``key`` and value of ``column``, one result column ``<column>_<value>`` per value
+    found (in order of the values); missing cells are 0, null keys and values are dropped.
+
+    The counts (a partial aggregate) are folded into one map per key.  Only the distinct values reach
+    the driver: more than ``max_values`` is an error, before any map is built.
+    """
+    counts = frame.filter(F.col(key).isNotNull() & F.col(column).isNotNull()).groupBy(key, column).agg(F.count(F.lit(1)).alias("_n"))
+    values = [r[0] for r in counts.select(column).distinct().orderBy(column).limit(max_values + 1).collect()]
+    if len(values) > max_values:
+        raise ValueError(f"{column} has over {max_values} values: too many for columns")
+    cells = counts.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct(column, "_n"))).alias("_cells"))
+    return cells.select(key, *[F.coalesce(F.try_element_at("_cells", F.lit(v)), F.lit(0).cast("long")).alias(f"{column}_{v}")
+                               for v in values])
+
+
 def gw_stats(events: DataFrame, strict: bool = False) -> DataFrame:
     """The ``gw_stats`` table: gameweek summaries, numeric nulls → 0."""
     df = select_columns(events, GW_COLUMNS)

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -40,33 +40,38 @@ HOT_KEY_ROWS = 1_000_000
 SALT_BUCKETS = 64
 
 
-def hot_keys(per_key: DataFrame, keys: list[str], count: str, hot_key_rows: int = HOT_KEY_ROWS) -> DataFrame:
-    """The hot keys among ``per_key`` (one row per key, ``count`` rows each): under 2 * P rows."""
-    partitions = int(per_key.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    total = per_key.agg(F.sum(count)).scalar()
-    return per_key.where((F.col(count) >= hot_key_rows) & (F.col(count) * (2 * partitions) > total)).select(*keys)
+def hot_mark(count: str, total: Column, partitions: int, hot_key_rows: int = HOT_KEY_ROWS) -> Column:
+    """True for a key with ``count`` rows that is hot among ``total`` rows."""
+    return (F.col(count) >= hot_key_rows) & (F.col(count) * (2 * partitions) > total)
+
+
+def shuffle_partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
 def attach_per_key(rows: DataFrame, per_key: DataFrame, keys: list[str], count: str, hint: str | None = None,
-                   hot_key_rows: int = HOT_KEY_ROWS, buckets: int = SALT_BUCKETS) -> DataFrame:
+                   hot_key_rows: int = HOT_KEY_ROWS, buckets: int = SALT_BUCKETS, counts: DataFrame | None = None) -> DataFrame:
     """Left join of ``rows`` with ``per_key`` (one row per key), hot keys split.
 
     ``count`` is the column of ``per_key`` with the key's number of rows.  Rows of a
     hot key get a salt in [0, buckets) and that key's ``per_key`` row is repeated once
     per salt, so the key is spread over ``buckets`` join tasks; every other key keeps
-    salt 0.  Rows with a null key can't match: they bypass the join.  ``hint`` picks
-    the join strategy (e.g. ``"shuffle_hash"`` when ``per_key`` grows with the data).
+    salt 0.  Rows with a null key can't match and are spread by the salt as well.
+    ``per_key`` marks its own hot keys; the rows learn them from a broadcast of fewer than
+    2 * P keys, found in ``counts`` (keys and ``count``; a plainer plan than ``per_key``'s, if
+    there is one).  ``hint`` picks the join strategy (e.g. ``"shuffle_hash"`` when
+    ``per_key`` grows with the data).
     """
-    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-    hot = F.broadcast(hot_keys(per_key, keys, count, hot_key_rows).withColumn("_hot", F.lit(True)))
+    total = rows.agg(F.count(F.lit(1))).scalar()
+    is_hot = hot_mark(count, total, shuffle_partitions(rows), hot_key_rows)
+    hot = F.broadcast((per_key if counts is None else counts).where(is_hot).select(*keys, F.lit(True).alias("_hot")))
     zero = F.lit(0).cast("bigint")
+    unknown = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
     salt = F.pmod(F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in rows.columns]), F.lit(buckets))
-    salted_rows = rows.where(known).join(hot, keys, "left") \
-        .withColumn("_salt", F.when(F.col("_hot"), salt).otherwise(zero)).drop("_hot")
+    salted_rows = rows.join(hot, keys, "left") \
+        .withColumn("_salt", F.when(F.coalesce(F.col("_hot"), unknown), salt).otherwise(zero)).drop("_hot")
     all_salts = F.sequence(zero, F.lit(buckets - 1).cast("bigint"))
-    salted_keys = per_key.join(hot, keys, "left").withColumn(
-        "_salt", F.explode(F.when(F.col("_hot"), all_salts).otherwise(F.array(zero)))).drop("_hot")
+    salted_keys = per_key.withColumn("_salt", F.explode(F.when(is_hot, all_salts).otherwise(F.array(zero))))
     if hint:
         salted_keys = salted_keys.hint(hint)
-    joined = salted_rows.join(salted_keys, keys + ["_salt"], "left").drop("_salt")
-    return joined.unionByName(rows.where(~known), allowMissingColumns=True)
+    return salted_rows.join(salted_keys, keys + ["_salt"], "left").drop("_salt")

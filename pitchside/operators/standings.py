@@ -11,13 +11,15 @@ ranking window and the dimension join then run on one row per team.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import schemas as SC
 from ..functions.match import DRAW, LOSS, WIN, match_points, match_result
 from .columns import rename, scale_columns
-from .joins import HOT_KEY_ROWS, attach_per_key, dimension_join
+from .joins import HOT_KEY_ROWS, attach_per_key, dimension_join, shuffle_partitions
 
 FIXTURE_RENAMES = {
     "event": "gameweek_id", "team_a": "away_team_id", "team_a_score": "away_team_score",
@@ -167,36 +169,53 @@ def rank_max_window(df: DataFrame, value: str, out: str, partition_by: list[str]
     return df.withColumn(out, F.when(F.col(value).isNotNull(), F.count(F.lit(1)).over(w)))
 
 
-#: Value ranges of ``rank_max``: each is ranked in a task of its own.
+#: Value ranges of a large partition in ``rank_max``: each is ranked in a task of its own.
 RANK_RANGES = 64
 
 
+def value_ranges(rows: DataFrame, value: str, whole: list[str]) -> tuple[DataFrame, DataFrame]:
+    """(counts, ranged): rows per distinct (partition, value), and the same with the ``_range`` of
+    the value inside its partition: 0 .. ``RANK_RANGES`` - 1 in a large partition, else 0."""
+    keys = [*whole, value]
+    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    counts = rows.filter(known).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    number = F.col(value).cast("double")
+    total = rows.agg(F.count(F.lit(1))).scalar()
+    cuts = counts.groupBy(*whole).agg(
+        F.count(F.lit(1)).alias("_values"),
+        F.percentile_approx(number, [i / RANK_RANGES for i in range(1, RANK_RANGES)]).alias("_cuts")) \
+        .where(F.col("_values") * (2 * shuffle_partitions(rows)) > total)
+    return counts, counts.join(F.broadcast(cuts.select(*whole, "_cuts")), whole, "left").select(
+        *keys, "_n", F.coalesce(F.size(F.filter("_cuts", lambda cut: cut < number)), F.lit(0)).alias("_range"))
+
+
 def rank_max(df: DataFrame, value: str, out: str, partition_by: list[str] = (),
              hot_key_rows: int = HOT_KEY_ROWS) -> DataFrame:
     """Same ranking for inputs of any size.
 
     Rows are first counted per distinct (partition, value) — a partial
     aggregation, so a value held by a third of all rows ships one row per task.
-    The running total over the distinct values runs inside ``RANK_RANGES`` ranges
-    of the value (cut at its quantiles), with the totals of the higher ranges
-    added, so no task holds all values.  The ranks are joined back with
-    ``attach_per_key``: a value held by very many rows is split over salted tasks.
+    A partition with more than 1/(2P) of the rows as distinct values (P: shuffle
+    partitions; fewer than 2P partitions can have so many) is cut into ``RANK_RANGES``
+    ranges at its own quantiles, which come from a mergeable sketch per partition; the
+    running total runs inside the ranges, with the totals of the higher ranges added, so
+    no task holds all values however the partitions are skewed.  The ranks are joined back
+    with ``attach_per_key``: a value held by very many rows is split over salted tasks.
+    Rows with a null value or partition get a null rank.
     """
-    keys = [*partition_by, value]
-    counts = df.filter(F.col(value).isNotNull()).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    number = F.col(value).cast("double")
-    cuts = counts.agg(F.percentile_approx(number, [i / RANK_RANGES for i in range(1, RANK_RANGES)]).alias("_cuts"))
-    counts = counts.crossJoin(F.broadcast(cuts))  # one row
-    counts = counts.withColumn("_range", F.size(F.filter("_cuts", lambda cut: cut < number))).drop("_cuts")
-    inside = Window.partitionBy(*partition_by, "_range").orderBy(F.col(value).desc()) \
+    whole = list(partition_by) or ["_all"]
+    rows = df if partition_by else df.withColumn("_all", F.lit(0))
+    keys = [*whole, value]
+    counts, ranged = value_ranges(rows, value, whole)
+    inside = Window.partitionBy(*whole, "_range").orderBy(F.col(value).desc()) \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    above = Window.partitionBy(*partition_by).orderBy(F.col("_range").desc()) \
+    above = Window.partitionBy(*whole).orderBy(F.col("_range").desc()) \
         .rowsBetween(Window.unboundedPreceding, -1)
-    higher = counts.groupBy(*partition_by, "_range").agg(F.sum("_n").alias("_sum")).select(
-        *partition_by, "_range", F.coalesce(F.sum("_sum").over(above), F.lit(0)).alias("_higher"))
-    ranks = counts.withColumn("_inside", F.sum("_n").over(inside)).join(higher, [*partition_by, "_range"]) \
+    higher = ranged.groupBy(*whole, "_range").agg(F.sum("_n").alias("_sum")).select(
+        *whole, "_range", F.coalesce(F.sum("_sum").over(above), F.lit(0)).alias("_higher"))
+    ranks = ranged.withColumn("_inside", F.sum("_n").over(inside)).join(higher, [*whole, "_range"]) \
         .select(*keys, "_n", (F.col("_inside") + F.col("_higher")).alias(out))
-    return attach_per_key(df, ranks, keys, "_n", hot_key_rows=hot_key_rows).select(*df.columns, out)
+    return attach_per_key(rows, ranks, keys, "_n", hot_key_rows=hot_key_rows, counts=counts).select(*df.columns, out)
 
 
 # ------------------------------------------------------------ the table -----

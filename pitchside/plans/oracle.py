@@ -15,6 +15,7 @@ FIXTURE_CUTOFF = "1998-01-01"
 FIXTURE_SOURCE_FROM = "1997-01-01"
 EVENT_TARGET_BEFORE = "2024-01-20"
 EVENT_SOURCE_FROM = "2024-01-10"
+SNAPSHOT_DATES = ["1992-05-01", "1994-02-03", "1996-09-10", "1997-07-07"]
 PLAYER_TARGET_TEAMS_BELOW = 15
 PLAYER_SOURCE_TEAMS_FROM = 10
 
@@ -542,6 +543,15 @@ def _upsert_player_gw() -> str:
     return sql(upsert_sql("t_latest", "source", SC.PLAYER_GW_STATS_KEY, SC.names(SC.PLAYER_GW_STATS)), *ctes)
 
 
+SNAPSHOT_CTES = [
+    ("dates", " union all ".join(f"select timestamp '{d}' as d" for d in SNAPSHOT_DATES)),
+    ("snapshots", """
+select id as element, team, d as snapshot_date,
+       total_points + case when id % 3 = 0 then 0 else year(d) - 1992 end as total_points
+from fx_elements, dates where (id + month(d)) % 5 <> 0"""),
+]
+
+
 def _refresh_gameweeks() -> str:
     older = """select * replace (case when gameweek_id % 5 = 0 and home_team_id = 3 then "minutes" + 1 else "minutes" end as "minutes")
 from fixture_info where gameweek_id <> 7"""
@@ -558,6 +568,27 @@ from (select gameweek_id, (select count(*) from older o where o.gameweek_id = d.
 ORACLES.update({
     "league_incremental": ORACLES["league_table"],
     "json_discover": ORACLES["json_flatten"],
+    "match_points_sql": ORACLES["match_points"],
+    "player_as_of": sql("""
+select h.element, fixture, line, kickoff_time, s_date as snapshot_date, s.total_points, s.team
+from (select *, (select max(d) from dates where d <= kickoff_time) as s_date from fx_history) h
+left join snapshots s on h.element = s.element and s_date = snapshot_date""", "fx_history", "fx_elements", *SNAPSHOT_CTES),
+    "player_intervals": sql("""
+select element, total_points, team, valid_from, (select min(d) from dates where d > last_date) as valid_to
+from (select element, total_points, team, min(snapshot_date) as valid_from, max(snapshot_date) as last_date
+from (select *, n - row_number() over (partition by element, total_points, team order by n) as island
+      from (select *, (select count(*) from dates where d <= snapshot_date) as n from snapshots))
+group by element, total_points, team, island)""", "fx_elements", *SNAPSHOT_CTES),
+    "result_crosstab": sql("""
+select team_id, count(case when res = 'D' then 1 end) as "result_D", count(case when res = 'L' then 1 end) as "result_L",
+       count(case when res = 'W' then 1 end) as "result_W"
+from sides where res is not null group by team_id""", *standings_ctes()),
+    "cast_rejects": sql(" union all ".join(
+        f"select '{c}' as \"column\", count({e}) as \"values\", count(case when {e} is not null and try_cast({e} as {t}) is null then 1 end) as rejected from fx_elements"
+        for c, e, t in (("second_name", "second_name", "double"), ("now_cost", "now_cost", "double"),
+                        ("influence", "(case when id % 7 = 0 then 'n/a' else influence end)", "double"),
+                        ("selected_by_percent", "(case when id % 11 = 0 then '' else selected_by_percent end)", "double"),
+                        ("chance_of_playing_next_round", "chance_of_playing_next_round", "bigint"))), "fx_elements"),
     "refresh_gameweeks": _refresh_gameweeks(),
     "upsert_team": _upsert_team(),
     "upsert_player": _upsert_player(),

@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas as SC
+from ..functions import sql as SF
+from ..operators import asof as AO
 from ..operators import columns as CO
 from ..operators import difference as DF
 from ..operators import gameweeks as GW
@@ -104,6 +106,18 @@ def match_points(spark, d):
     return _scored(spark, d).select(*MATCH_KEYS, "home_points", "away_points")
 
 
+def match_points_sql(spark, d):
+    """``match_points`` as a SQL user writes it."""
+    SF.register(spark)
+    return spark.sql(f"select {', '.join(MATCH_KEYS)}, match_points(home_team_score, away_team_score) as home_points, "
+                     "match_points(away_team_score, home_team_score) as away_points from {fixtures}",
+                     fixtures=ST.fixture_frame(_fixtures(spark, d)))
+
+
+def result_crosstab(spark, d):
+    return GW.crosstab(ST.team_sides(_scored(spark, d)), "team_id", "result")
+
+
 def match_result(spark, d):
     return _scored(spark, d).select(*MATCH_KEYS, "home_result", "away_result")
 
@@ -233,6 +247,35 @@ def player_cast(spark, d):
     return PL.player_cast(_elements(spark, d), _positions(spark, d))
 
 
+def cast_rejects(spark, d):
+    """Casts of player columns of which some hold text that is no number."""
+    elements = TD.fx_elements(spark, d).withColumns({
+        "influence": F.when(F.col("id") % 7 == 0, "n/a").otherwise(F.col("influence")),
+        "selected_by_percent": F.when(F.col("id") % 11 == 0, "").otherwise(F.col("selected_by_percent"))})
+    double = T.DoubleType()
+    return CO.cast_rejects(elements, {"influence": double, "selected_by_percent": double, "second_name": double, "now_cost": double,
+                                      "chance_of_playing_next_round": T.LongType()})
+
+
+def _player_snapshots(spark, d):
+    """Players on four dates: points grow, some players are missing on some dates."""
+    dated = _elements(spark, d).select(F.col("id").alias("element"), F.col("total_points"), "team",
+                                       F.explode(F.expr(f"transform(array({', '.join(repr(x) for x in OR.SNAPSHOT_DATES)}), x -> cast(x as timestamp_ntz))"))
+                                       .alias("snapshot_date"))
+    return dated.where((F.col("element") + F.month("snapshot_date")) % 5 != 0).withColumn(
+        "total_points", F.col("total_points") + F.when(F.col("element") % 3 == 0, 0).otherwise(F.year("snapshot_date") - 1992))
+
+
+def player_as_of(spark, d):
+    """Every game with its player's totals as of kick-off."""
+    games = _history(spark, d).select("element", "fixture", "line", "kickoff_time")
+    return AO.as_of(games, _player_snapshots(spark, d), ["element"], "kickoff_time")
+
+
+def player_intervals(spark, d):
+    return AO.valid_intervals(_player_snapshots(spark, d), ["element"])
+
+
 def fill_nulls(spark, d):
     return CO.fill_nulls(_elements(spark, d), 0)
 
@@ -324,9 +367,11 @@ QUERIES: dict[str, Query] = {
     "goals": goals,
     "team_points": team_points,
     "match_points": match_points,
+    "match_points_sql": match_points_sql,
     "match_result": match_result,
     "filter_result": filter_result,
     "result_pivot": result_pivot,
+    "result_crosstab": result_crosstab,
     "join_full_outer": join_full_outer_q,
     "team_strength": team_strength,
     "join_team_dim": join_team_dim,
@@ -349,6 +394,9 @@ QUERIES: dict[str, Query] = {
     "project_rename": project_rename,
     "project_select": project_select,
     "player_cast": player_cast,
+    "cast_rejects": cast_rejects,
+    "player_as_of": player_as_of,
+    "player_intervals": player_intervals,
     "fill_nulls": fill_nulls,
     "bool_label": bool_label,
     "join_player_position": join_player_position,

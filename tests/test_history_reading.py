@@ -1,0 +1,153 @@
+"""As-of reading, intervals, cast rejects, cross-tabs, SQL functions, bucketed merges, skewed ranks."""
+
+import random
+import uuid
+
+import pytest
+from pyspark.sql import Observation
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from conftest import SF_SMALL
+from pitchside.functions import sql as SF
+from pitchside.operators import asof as AO
+from pitchside.operators import columns as CO
+from pitchside.operators import gameweeks as GW
+from pitchside.operators import merge as MG
+from pitchside.operators import standings as ST
+from pitchside.plans import queries
+from pitchside.sinks import buckets as BK
+from test_registry import plan
+
+
+def rows(df):
+    return sorted(map(tuple, df.collect()), key=str)
+
+
+# ------------------------------------------------------------------ as of ---
+
+def snapshots_and_facts(spark, rng, hot=False):
+    snaps = [(k, d, rng.randrange(2), rng.choice(["a", None])) for d in (2, 4, 7, 9) for k in range(8) if rng.random() < 0.8]
+    facts = [(0 if hot and i % 3 else rng.choice([None, *range(10)]), rng.choice([None, *range(12)]), i) for i in range(300)]
+    return snaps, facts, spark.createDataFrame(snaps, "k long, day long, x long, y string"), spark.createDataFrame(facts, "k long, at long, x_fact long")
+
+
+@pytest.mark.parametrize("hot_key_rows", [1_000_000, 5])
+def test_as_of_equals_a_look_up(spark, hot_key_rows):
+    snaps, facts, s, f = snapshots_and_facts(spark, random.Random(hot_key_rows), True)
+    state = {(k, d): (x, y) for k, d, x, y in snaps}
+    days = sorted({d for _, d, _, _ in snaps})
+    want = []
+    for k, at, i in facts:
+        day = max((d for d in days if at is not None and d <= at), default=None)
+        want.append((k, at, i, day, *state.get((k, day), (None, None))))
+    assert rows(AO.as_of(f, s, ["k"], "at", "day", hot_key_rows)) == sorted(want, key=str)
+
+
+def test_intervals_are_gaps_and_islands(spark):
+    snaps, _, s, _ = snapshots_and_facts(spark, random.Random(3))
+    days, want = sorted({d for _, d, _, _ in snaps}), []
+    for k in range(8):
+        open_ = None
+        for n, day in enumerate([*days, None]):
+            now = next(((x, y) for k2, d, x, y in snaps if k2 == k and d == day), None)
+            if open_ and now != open_[0]:
+                want.append((k, *open_[0], open_[1], day))
+                open_ = None
+            if now and not open_:
+                open_ = (now, day)
+        if open_:
+            want.append((k, *open_[0], open_[1], None))
+    # what lasts to the last snapshot has no end
+    want = [(*w[:4], None if w[4] is None else w[4]) for w in want]
+    last = days[-1]
+    got = rows(AO.valid_intervals(s, ["k"], "day"))
+    still = {r[0] for r in got if r[4] is None}
+    assert still == {k for k, d, _, _ in snaps if d == last}
+    assert sorted((w for w in want if not (w[4] is None and w[0] not in still)), key=str) == got
+
+
+def test_as_of_plan_has_no_nested_loop(spark):
+    p = plan(queries()["player_as_of"](spark, SF_SMALL), "simple")
+    assert "NestedLoop" not in p and "Cartesian" not in p and p.count("lineitem.parquet") <= 5  # the row count twice, as one reused subquery
+
+
+# ------------------------------------------------------------ cast rejects ---
+
+def test_casts_say_what_they_lost(spark, scratch):
+    df = spark.createDataFrame([("1", "x", "true"), ("1.5", None, "maybe"), (None, "2", None), ("", "3.0", "FALSE")], "a string, b string, c string")
+    types = {"a": T.DoubleType(), "b": T.DoubleType(), "c": T.BooleanType()}
+    assert rows(CO.cast_rejects(df, types)) == [("a", 3, 1), ("b", 3, 1), ("c", 3, 1)]
+    seen = Observation()
+    out = CO.cast_and_observe(df, types, seen)
+    out.write.parquet(f"{scratch}/t")
+    assert seen.get == {"a": 1, "b": 1, "c": 1}
+    back = spark.read.parquet(f"{scratch}/t")
+    assert rows(back.drop("_rejects")) == rows(CO.cast_columns(df, types))
+    assert sorted((r.column, r.value) for r in back.select(F.inline("_rejects")).collect()) == [("a", ""), ("b", "x"), ("c", "maybe")]
+    assert plan(queries()["cast_rejects"](spark, SF_SMALL), "simple").count("FileScan") == 1
+
+
+# ---------------------------------------------------------------- cross-tab ---
+
+def test_crosstab_finds_its_values(spark):
+    df = spark.createDataFrame([(1, "x"), (1, "x"), (1, "y"), (2, "z"), (3, None), (None, "x")], "k long, v string")
+    out = GW.crosstab(df, "k", "v")
+    assert out.columns == ["k", "v_x", "v_y", "v_z"] and rows(out) == [(1, 2, 1, 0), (2, 0, 0, 1)]
+    with pytest.raises(ValueError, match="over 2 values"):
+        GW.crosstab(df, "k", "v", max_values=2)
+    assert GW.crosstab(df.limit(0), "k", "v").collect() == []
+
+
+# ------------------------------------------------------------ SQL functions ---
+
+def test_sql_functions_are_inlined(spark):
+    assert set(SF.register(spark)) == {"match_points", "match_result", "is_double_gameweek", "bool_label"}
+    got = spark.sql("select match_points(a, b), match_result(a, b), is_double_gameweek(a), bool_label(a > b) "
+                    "from values (2L, 1L), (1L, 1L), (0L, 3L), (null, 1L) as t(a, b)").collect()
+    assert [tuple(r) for r in got] == [(3, "W", True, "True"), (1, "D", False, "False"), (0, "L", False, "False"), (0, None, None, None)]
+    p = plan(queries()["match_points_sql"](spark, SF_SMALL), "simple")
+    assert "Python" not in p and "CASE WHEN" in p and "match_points(" not in p
+
+
+# --------------------------------------------------------- bucketed merges ---
+
+@pytest.mark.parametrize("buckets", [8, 16])
+def test_a_bucketed_merge_moves_only_the_source(spark, buckets):
+    name = f"merged_{uuid.uuid4().hex[:8]}"
+    rng = random.Random(buckets)
+    target = spark.createDataFrame([(k, k % 3, f"t{k}") for k in range(200)], "k long, g long, v string")
+    source = spark.createDataFrame([(k, k % 3, rng.choice([None, f"s{k}"])) for k in range(150, 260)], "k long, g long, v string")
+    BK.create(target, name, ["k", "g"], buckets)
+    assert BK.bucket_count(spark, name) == buckets
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        p = plan(BK.merged(spark, name, source, ["k", "g"]), "simple").splitlines()
+        scan = next(i for i, line in enumerate(p) if "FileScan" in line)
+        join = next(i for i, line in enumerate(p) if "FullOuter" in line)
+        assert not any("Exchange" in line for line in p[join:scan]) and "Bucketed: true" in p[scan]
+        assert any("Exchange" in line for line in p[scan:])  # the source's
+        want = rows(MG.upsert(target, source, ["k", "g"]))
+        BK.upsert(spark, name, source, ["k", "g"])
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert rows(spark.table(name)) == want and BK.bucket_count(spark, name) == buckets
+    assert len(BK.drop_superseded(spark, name)) == 1 and rows(spark.table(name)) == want
+    spark.sql(f"drop view {name}")
+    spark.sql(f"drop table {[t.name for t in spark.catalog.listTables() if t.name.startswith(name)][0]}")
+
+
+# ------------------------------------------------------------ skewed ranks ---
+
+def test_a_partition_with_most_values_is_cut_at_its_own_quantiles(spark):
+    rng = random.Random(5)
+    data = [(1, 10_000 + i // 2) for i in range(18_000)] + [(t, rng.randrange(60)) for t in range(2, 52) for _ in range(20)] + [(None, 3), (4, None)]
+    df = spark.createDataFrame(data, "team long, pts long")
+    assert rows(ST.rank_max(df, "pts", "r", ["team"])) == rows(ST.rank_max_window(df.where("team is not null"), "pts", "r", ["team"])
+                                                              .unionByName(spark.createDataFrame([(None, 3, None)], "team long, pts long, r long")))
+    sizes = ST.value_ranges(df, "pts", ["team"])[1].groupBy("team", "_range").count()
+    assert sizes.agg(F.max("count")).first()[0] <= 2 * 9000 / ST.RANK_RANGES
+    assert sizes.where("team <> 1 and _range <> 0").count() == 0  # small partitions are not cut
+    p = plan(queries()["rank_max"](spark, SF_SMALL), "simple")
+    assert "NestedLoop" not in p and p.count("FileScan") <= 10
