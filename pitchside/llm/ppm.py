@@ -29,6 +29,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from math import log10
 
 import numpy as np
 import pyarrow as pa
@@ -258,9 +259,9 @@ def _score(order: int, log_base: float, end_count: int):
             for words in word_lists(t):
                 for w in set(words):
                     if w not in known:
-                        known[w] = counts.get(word_key(w), 0.0)
+                        known[w] = log10(counts.get(word_key(w), 0.0) + 1)
                 c = np.fromiter(map(known.__getitem__, words), float, len(words))
-                n, hits, base = n + len(words), hits + int((c > 0).sum()), base + np.log10(c + 1).sum()
+                n, hits, base = n + len(words), hits + int(np.count_nonzero(c)), base + c.sum()
             out["n_tokens"].append(n)
             out["n_known"].append(hits)
             out["base_score"].append(base - n * log_base)
@@ -284,12 +285,15 @@ def score_documents(docs: DataFrame, held_out: Column, order: int = ORDER) -> Da
     total = sums["words"] + ends
     log_base = float(np.log10(total + sums["distinct"] + int(ends > 0) + 1))
     chunks = max(-(-size.bytes // CHUNK), int(spark.conf.get("spark.sql.shuffle.partitions")))
-    dealt = rows.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks))).repartition("chunk")
+    # the tasks grow with the bytes; repeats of one row, which share id and text, are spread over chunks as well
+    spread = F.xxhash64("doc_id", "text", F.monotonically_increasing_id())
+    dealt = rows.withColumn("chunk", F.pmod(spread, F.lit(chunks))).repartition(chunks, "chunk")
     # all columns, so that both uses of the dealt documents are one exchange
     asked = dealt.sortWithinPartitions("chunk").mapInArrow(_asked(order), "chunk long, kind int, key long")
     blank = [F.lit(None).cast("long").alias(c) for c in ("t", "d", "rest_t", "rest_d")]
     known = words.select("kind", "key", "c", *blank).unionByName(nodes)
-    answers = asked.join(known, ["kind", "key"]).select("chunk", "kind", "key", "c", "t", "d", "rest_t", "rest_d")
+    # a node is there once: hashing the nodes of a partition saves sorting the many more asked keys
+    answers = asked.join(known.hint("shuffle_hash"), ["kind", "key"]).select("chunk", "kind", "key", "c", "t", "d", "rest_t", "rest_d")
     out = dealt.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(
         _score(order, log_base, ends), "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
     return out.withColumn("train_tokens", F.lit(total).cast("long"))
