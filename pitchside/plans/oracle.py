@@ -511,7 +511,7 @@ def _upsert_team() -> str:
 def _upsert_player() -> str:
     ctes = ["fx_elements", "fx_element_types"]
     for prefix, cond in (("t", f"team < {PLAYER_TARGET_TEAMS_BELOW}"),
-                         ("s", f"team >= {PLAYER_SOURCE_TEAMS_FROM}")):
+                         ("s", f"(team >= {PLAYER_SOURCE_TEAMS_FROM} or team is null)")):
         for name, text in player_info_ctes(cond)[2:]:
             for other in ("scan_elements", "elements_renamed", "player_cast", "positions"):
                 text = text.replace(f"from {other}", f"from {prefix}_{other}") \

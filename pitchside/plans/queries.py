@@ -331,7 +331,7 @@ def upsert_team(spark, d):
 def upsert_player(spark, d):
     elements, positions = _elements(spark, d), _positions(spark, d)
     target = PL.player_info(elements.filter(F.col("team") < OR.PLAYER_TARGET_TEAMS_BELOW), positions)
-    source = PL.player_info(elements.filter(F.col("team") >= OR.PLAYER_SOURCE_TEAMS_FROM), positions).withColumns({
+    source = PL.player_info(elements.filter((F.col("team") >= OR.PLAYER_SOURCE_TEAMS_FROM) | F.col("team").isNull()), positions).withColumns({
         "total_points": F.col("total_points") + 7,
         "influence": F.when(F.col("total_points") >= 20, F.col("influence"))})
     return MG.upsert(target, source, SC.PLAYER_INFO_KEY)
