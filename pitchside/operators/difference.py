@@ -47,19 +47,21 @@ def changed_groups(old: DataFrame, new: DataFrame, by: str) -> DataFrame:
     return sums.where(~same).select(by, change.alias("change"), before.alias("rows_before"), after.alias("rows_after"))
 
 
-def stage_changes(store, table: str, source: DataFrame, schema: T.StructType, column: str):
+def stage_changes(store, table: str, source: DataFrame, schema: T.StructType, column: str, max_partitions: int = 100_000):
     """Full refresh of a partitioned table that writes only the partitions (values of ``column``)
     whose rows differ from the stored ones; returns what to commit.
 
     An equal source writes nothing and gives back the stored entry.  A table without
     partitions yet is written whole.  The driver gets one row per partition that
-    changed.  Commit on the state this was read from (``base_seq``).
+    changed, over ``max_partitions`` is an error.  Commit on the state this was read from (``base_seq``).
     """
     source = conform_to(schema, source)
     current = store.version(table)
     old = store.read(table, schema) if isinstance(current, dict) else store.spark.createDataFrame([], schema)
     text = F.col(column).cast("string")
-    changes = {r[0]: r[1] for r in changed_groups(old, source, column).select(text, "change").collect()}
+    changes = {r[0]: r[1] for r in changed_groups(old, source, column).select(text, "change").limit(max_partitions + 1).collect()}
+    if len(changes) > max_partitions:
+        raise ValueError(f"{column} has over {max_partitions} values: not a partition column")
     if None in changes:
         raise ValueError(f"rows without {column}: a partition of {table} needs a value")
     if not changes and isinstance(current, dict):

@@ -24,8 +24,8 @@ def positions_renamed(element_types: DataFrame) -> DataFrame:
 
 def join_player_position(elements: DataFrame, element_types: DataFrame) -> DataFrame:
     """Players with their position name.  Inner: a player whose position is
-    unknown (or null) is not listed.  The position table is broadcast after a
-    size check."""
+    unknown (or null) is not listed.  Spark broadcasts the position table if
+    its bytes are few."""
     return dimension_join(players_renamed(elements), positions_renamed(element_types),
                           "position_id", "inner")
 

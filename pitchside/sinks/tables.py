@@ -45,6 +45,8 @@ from pyspark.sql import types as T
 from ..operators import merge as MG
 
 COMMITS = "_commits"
+#: Partitions that one run may write.
+MAX_PARTITIONS = 100_000
 
 
 class CommitConflict(RuntimeError):
@@ -213,7 +215,9 @@ class TableStore:
         if column not in keys:
             raise ValueError(f"partition column {column} must be a key column")
         # one value per folder that the run writes
-        touched = [r[0] for r in source.select(F.col(column).cast("string")).distinct().collect()]
+        touched = [r[0] for r in source.select(F.col(column).cast("string")).distinct().limit(MAX_PARTITIONS + 1).collect()]
+        if len(touched) > MAX_PARTITIONS:
+            raise ValueError(f"{column} has over {MAX_PARTITIONS} values: not a partition column")
         if None in touched:
             raise ValueError(f"rows without {column}: a partition of {table} needs a value")
         current = self.version(table)
