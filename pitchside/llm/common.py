@@ -132,13 +132,17 @@ def bucket_blocks(rows: DataFrame, keys: list[str], ident: Column, limit: int) -
     own block: compare inside it if ``block_a = block_b``, else across the two.
     """
     sizes = saved(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where("__n > 1"), "bucket-sizes")
-    n = F.ceil(F.col("__n") / F.lit(limit)).cast("int")
-    dealt = rows.join(sizes, keys).withColumn("__blocks", n).withColumn(
+    return in_blocks(rows.join(sizes, keys), ident, F.ceil(F.col("__n") / F.lit(limit))).drop("__n")
+
+
+def in_blocks(rows: DataFrame, ident: Column, n: Column) -> DataFrame:
+    """Rows of buckets dealt as by :func:`bucket_blocks`, ``n`` being the blocks of the row's bucket."""
+    dealt = rows.withColumn("__blocks", n.cast("int")).withColumn(
         "block", F.pmod(F.xxhash64(ident), F.col("__blocks")).cast("int"))
     dealt = dealt.withColumn("__other", F.explode(F.sequence(F.lit(0), F.col("__blocks") - 1)))
     return dealt.withColumns({
         "block_a": F.least("block", "__other"), "block_b": F.greatest("block", "__other"),
-    }).drop("__n", "__blocks", "__other")
+    }).drop("__blocks", "__other")
 
 
 def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str], rows: int = 1 << 16) -> Iterator[tuple[pa.Table, np.ndarray]]:
