@@ -13,15 +13,15 @@ stays under the threshold are discarded; the others are recomputed exactly.
 Candidates: ``TABLES`` keys of ``BITS`` sign bits (of as many rotations as needed)
 per vector; vectors of a label that share a key are compared.  A pair at cosine 0.98
 shares one with probability 1 - (1 - 0.936 ** 20) ** 24 > 0.999, closer pairs more
-surely; this recall is the one thing that is not exact (measured in the tests).  A
-pair found in several tables counts in the first.  Buckets are dealt in blocks
+surely.  This recall and the bound above are the two things that are not exact (measured
+together in the tests).  A pair found in several tables counts in the first.  Buckets are dealt in blocks
 (common.bucket_blocks), so a large one is many bounded groups; a group sends on a
 count per vector and a spanning forest, not its pairs.
 
 Edge cases: vectors that are null, empty, zero or hold a null or non-finite component,
 rows with a null label, and rows without vec_id link with nothing (no links, a
-component of their own, kept); so do all but one of different vectors that share a
-vec_id; vectors of different lengths never link; repeated rows are vectors of their
+component of their own, kept); different vectors that share a vec_id are vectors like any
+others, each row with its own links and component; vectors of different lengths never link; repeated rows are vectors of their
 own; no rows give no rows; other columns are never read.
 """
 
@@ -155,11 +155,9 @@ def embedding_components(vectors: DataFrame, least: float = 0.98) -> DataFrame:
     keyed = saved(rows.select("vec_id", "usable", "label", "vec", F.when(F.col("usable"), F.md5(F.to_json(F.struct("label", "vec")).cast("binary")))
                               .alias("same")), "vectors")
     vectors = keyed.where("usable").groupBy("same").agg(
-        F.min("vec_id").alias("vid"), F.count(F.lit(1)).alias("copies"), F.first("label").cast("long").alias("label"),
-        F.first("vec").alias("vec")).withColumn("dims", F.size("vec"))
-    vectors = saved(vectors, "distinct")
-    named = vectors.groupBy("vid").agg(F.min("same").alias("same"))  # one vector per vid, also if an id has several
-    vectors = saved(vectors.join(named, ["vid", "same"]), "named")
+        F.min("vec_id").alias("least_id"), F.count(F.lit(1)).alias("copies"), F.first("label").cast("long").alias("label"),
+        F.first("vec").alias("vec")).withColumns({"dims": F.size("vec"), "vid": F.monotonically_increasing_id()})
+    vectors = saved(vectors, "distinct")  # written, so a vid is one vector's for good
     keys = ["label", "dims", "tab", "bucket"]
     buckets = vectors.select("vid", "label", "dims", "vec").mapInArrow(
         _bucket_rows, "vid long, label long, dims int, tab int, bucket long")
@@ -169,10 +167,11 @@ def embedding_components(vectors: DataFrame, least: float = 0.98) -> DataFrame:
                   .repartition(*names).sortWithinPartitions(*names).mapInArrow(_compare(least), "a long, b long, links long"), "links")
     links = found.where("b is null").groupBy(F.col("a").alias("vid")).agg(F.sum("links").alias("links"))
     roots = components(found.where("b is not null")).withColumnRenamed("node", "vid")
-    # vids are the smallest vec_id of their copies, so the smallest vid of a component is its smallest vec_id
-    classes = saved(vectors.select("vid", "same", "copies").join(links, "vid", "left").join(roots, "vid", "left").select(
-        "same", F.coalesce("root", "vid").alias("component"),
-        (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("links")), "classes")
+    own = saved(vectors.select("vid", "same", "copies", "least_id").join(links, "vid", "left").join(roots, "vid", "left").select(
+        "same", "least_id", F.coalesce("root", "vid").alias("root"),
+        (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("links")), "own")
+    least_ids = own.groupBy("root").agg(F.min("least_id").alias("component"))
+    classes = saved(own.join(least_ids, "root").select("same", "component", "links"), "classes")
     out = keyed.select("vec_id", "same").join(classes, "same", "left")
     return out.select("vec_id", F.coalesce("links", F.lit(0)).cast("long").alias("n_links"),
                       F.coalesce("component", "vec_id").alias("component_id")) \

@@ -76,6 +76,15 @@ def test_null_ids_repeats_and_no_rows(spark):
     assert [(r.n_links, r.component_id) for r in E.embedding_components(same_id).collect()] == [(0, 3)] * 2
 
 
+def test_vectors_that_share_an_id_all_link(spark):
+    """Every vector of a vec_id is compared; a component's id is the least vec_id in it."""
+    a, b = [1.0, 2.0, 3.0], [5.0, -1.0, 0.0]
+    rows = [(3, a, 1), (3, b, 1), (7, [2.0, 4.0, 6.1], 1), (9, [5.1, -1.0, 0.0], 1), (9, [0.0, 0.0, 1.0], 1), (1, [5.0, -1.0, 0.1], 1)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    out = sorted((r.vec_id, r.n_links, r.component_id, r.kept) for r in E.embedding_components(df).collect())
+    assert out == [(1, 2, 1, True), (3, 1, 3, True), (3, 2, 1, False), (7, 1, 3, False), (9, 0, 9, True), (9, 2, 1, False)]
+
+
 def test_estimates_are_unbiased_and_bounded():
     rng = np.random.default_rng(5)
     x = E._unit(rng.normal(size=(400, 64)))
