@@ -9,9 +9,10 @@ any k < w diagonals lie in one band), bands at the bound are retained, and a ban
 semi-global alignment decides each (an exact occurrence needs none).
 
 Text is lower-cased and runs of white space become one space on both sides.  Where
-an item's bound would fall under 1, its k is lowered until it is 1, so the filter
-never misses; items under q characters are too short to be a passage and are not
-searched.
+an item is too short for the bound to be 1 at ``Q``, its own q is the largest at which
+it is, ``m // (k + 1)``; so every item is searched with its full k and the filter never
+misses.  An item without edits and shorter than ``Q`` is its one q-gram: it is found
+wherever it stands, as part of a word too.  Items of white space alone hold nothing.
 
 Scale: documents are never shuffled.  The items are the query set; they go to the
 tasks in blocks of at most ``BLOCK_CHARS`` characters, each block one pass over the
@@ -55,18 +56,28 @@ class ItemIndex:
     """The q-grams of a block of items: [(item_id, text)]."""
 
     def __init__(self, items: list[tuple[int, str]], q: int = Q, rate: float = RATE):
-        kept = [(i, t) for i, t in ((i, normal(t)) for i, t in items) if len(t) >= q]
-        self.q, self.ids, self.texts = q, [i for i, _ in kept], [t for _, t in kept]
+        kept = [(i, t) for i, t in ((i, normal(t)) for i, t in items) if t]
+        self.ids, self.texts = [i for i, _ in kept], [t for _, t in kept]
         self.codes = [_codes(t) for t in self.texts]
         self.m = np.array([len(c) for c in self.codes], np.int64)
-        self.k = np.minimum((self.m * rate).astype(np.int64), (self.m - q) // q)
-        self.bound = self.m - q + 1 - self.k * q
+        self.k = (self.m * rate).astype(np.int64)
+        self.q = np.minimum(q, self.m // (self.k + 1))
+        self.bound = self.m - self.q + 1 - self.k * self.q
         self.width = np.maximum(self.k + 1, 4)
         self.overlap = int((self.m + self.k).max()) + 2 * q if kept else 0
-        grams = [_grams(c, q) for c in self.codes]
-        every = np.concatenate(grams) if kept else np.zeros(0, np.uint64)
-        item = np.repeat(np.arange(len(kept)), [len(g) for g in grams])
-        at = np.concatenate([np.arange(len(g)) for g in grams]) if kept else np.zeros(0, np.int64)
+        self.tables = [GramTable(size, [(t, self.codes[t]) for t in np.flatnonzero(self.q == size).tolist()])
+                       for size in np.unique(self.q).tolist()]
+
+
+class GramTable:
+    """Where the q-grams of one length stand in items: [(item, its characters)]."""
+
+    def __init__(self, q: int, items: list[tuple[int, np.ndarray]]):
+        self.q = q
+        grams = [_grams(c, q) for _, c in items]
+        every = np.concatenate(grams)
+        item = np.repeat([t for t, _ in items], [len(g) for g in grams])
+        at = np.concatenate([np.arange(len(g)) for g in grams])
         order = np.argsort(every, kind="stable")
         self.item, self.at = item[order], at[order]
         self.grams, self.first = np.unique(every[order], return_index=True)
@@ -74,6 +85,16 @@ class ItemIndex:
         self.maybe = np.zeros(1 << _BITS, bool)
         self.maybe[self._slot(self.grams)] = True
 
+    def find(self, codes: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(position, document, gram) of every hit in documents laid end to end."""
+        grams = _grams(codes, self.q)
+        pos = np.flatnonzero(self.maybe[self._slot(grams)])
+        at = np.searchsorted(self.grams, grams[pos])
+        at[at == len(self.grams)] = 0
+        doc = np.searchsorted(ends, pos, side="right")
+        real = (self.grams[at] == grams[pos]) & (pos + self.q <= ends[doc])
+        return pos[real], doc[real], at[real]
+
     @staticmethod
     def _slot(grams: np.ndarray) -> np.ndarray:
         return (grams * _MIX) >> np.uint64(64 - _BITS)
@@ -83,22 +104,16 @@ def _bands(ix: ItemIndex, docs: list[tuple[int, str, np.ndarray, int]]) -> Itera
     """(index into docs, item, band) of every band whose q-gram count meets its item's bound."""
     lengths = [len(c) for _, _, c, _ in docs]
     ends = np.cumsum(lengths)
-    grams = _grams(np.concatenate([c for _, _, c, _ in docs]), ix.q)
-    pos = np.flatnonzero(ix.maybe[ix._slot(grams)])
-    at = np.searchsorted(ix.grams, grams[pos])
-    at[at == len(ix.grams)] = 0
-    doc = np.searchsorted(ends, pos, side="right")
-    real = (ix.grams[at] == grams[pos]) & (pos + ix.q <= ends[doc])
-    pos, at, doc = pos[real], at[real], doc[real]
-    count = ix.count[at]
-    total = int(count.sum())
+    codes = np.concatenate([c for _, _, c, _ in docs])
+    found = [(table, *table.find(codes, ends)) for table in ix.tables]
+    total = sum(int(table.count[at].sum()) for table, _, _, at in found)
     if total > HITS and (len(docs) > 1 or lengths[0] > 4 * ix.overlap):  # halve what is scanned at once
         if len(docs) > 1:
             half = len(docs) // 2
             yield from _bands(ix, docs[:half])
             yield from ((d + half, t, b) for d, t, b in _bands(ix, docs[half:]))
         else:
-            row, text, codes, off = docs[0]
+            row, text, _, off = docs[0]
             half = len(codes) // 2
             yield from _bands(ix, [(row, text, codes[:half + ix.overlap], off)])
             for d, t, b in _bands(ix, [(row, text, codes[half:], off)]):
@@ -107,10 +122,12 @@ def _bands(ix: ItemIndex, docs: list[tuple[int, str, np.ndarray, int]]) -> Itera
                 if half % w:
                     yield d, t, b + half // w + 1
         return
-    start = np.cumsum(count) - count
-    entry = np.arange(total) - np.repeat(start - ix.first[at], count)
-    item, j = ix.item[entry], ix.at[entry]
-    doc, pos = np.repeat(doc, count), np.repeat(pos, count)
+    hits = []
+    for table, pos, doc, at in found:
+        count = table.count[at]
+        entry = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count - table.first[at], count)
+        hits.append((table.item[entry], table.at[entry], np.repeat(doc, count), np.repeat(pos, count)))
+    item, j, doc, pos = (np.concatenate(x) for x in zip(*hits))
     pair = doc * len(ix.ids) + item
     _, back, n = np.unique(pair, return_inverse=True, return_counts=True)
     live = n[back] >= ix.bound[item]
@@ -156,6 +173,7 @@ def search(ix: ItemIndex, texts: list[str | None]) -> list[tuple[int, int, int,
     if not ix.ids:
         return []
     best: dict[tuple[int, int], tuple[int, int, int]] = {}
+    inexact: set[tuple[int, int]] = set()  # row and item of which the text holds no exact occurrence
     group: list[tuple[int, str, np.ndarray, int]] = []
     held = 0
 
@@ -166,10 +184,11 @@ def search(ix: ItemIndex, texts: list[str | None]) -> list[tuple[int, int, int,
             m = int(ix.m[t])
             if best.get((row, t), (1,))[0] == 0:
                 continue
-            at = text.find(ix.texts[t])
+            at = -1 if (row, t) in inexact else text.find(ix.texts[t])
             if at >= 0:
                 best[row, t] = (0, at, at + m)
-            else:
+            elif ix.k[t]:
+                inexact.add((row, t))
                 open_.setdefault(t, []).append((row, codes, b, off, len(text)))
         for t, regions in open_.items():
             m, k = int(ix.m[t]), int(ix.k[t])
@@ -185,7 +204,7 @@ def search(ix: ItemIndex, texts: list[str | None]) -> list[tuple[int, int, int,
 
     for row, text in enumerate(texts):
         text = normal(text)
-        if len(text) < ix.q:
+        if not text:
             continue
         codes, off = _codes(text), 0
         while True:

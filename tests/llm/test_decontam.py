@@ -62,6 +62,29 @@ def test_matches_brute_force(monkeypatch, limits):
     assert {e > 0 for e in want.values()} == {True, False}
 
 
+@pytest.mark.parametrize("limits", [(D.PIECE, D.HITS), (200, 150)])
+def test_short_items_are_searched_with_all_their_edits(monkeypatch, limits):
+    monkeypatch.setattr(D, "PIECE", limits[0])
+    monkeypatch.setattr(D, "HITS", limits[1])
+    rng = random.Random(11)
+    items = [(m, "".join(rng.choice("abcdefgh ij") for _ in range(m - 1)).strip() + "z") for m in range(1, 61)] + [(99, " \n ")]
+    docs = []
+    for _ in range(3):
+        for _, t in items:
+            text = edited(rng, t, rng.randint(0, int(len(t) * D.RATE))) if t.strip() else ""
+            docs.append(prose(rng, rng.randint(0, 12)) + " " + text + prose(rng, rng.randint(0, 12)))
+    ix = D.ItemIndex(items)
+    assert len(ix.ids) == 60 and (ix.k == (ix.m * D.RATE).astype(int)).all() and (ix.bound >= 1).all()
+    got = {(r, ix.ids[t]): e for r, t, e, _, _ in D.search(ix, docs)}
+    want = {}
+    for r, text in enumerate(docs):
+        for t, item in enumerate(ix.texts):
+            e = brute_edits(item, D.normal(text))
+            if e <= ix.k[t]:
+                want[r, ix.ids[t]] = e
+    assert got == want and sum(e > 0 for e in want.values()) > 20
+
+
 def test_regions_hold_the_match():
     rng = random.Random(8)
     items, docs = case(rng)
