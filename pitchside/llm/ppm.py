@@ -29,7 +29,6 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from math import log10
 
 import numpy as np
 import pyarrow as pa
@@ -67,6 +66,12 @@ def string_pieces(text: bytes, order: int = ORDER) -> Iterator[np.ndarray]:
         yield g
 
 
+def distinct(keys: np.ndarray) -> np.ndarray:
+    """The different keys in order; sorts ``keys`` in place, several times as fast as a hash set of them."""
+    keys.sort()
+    return keys[np.append(True, keys[1:] != keys[:-1])] if len(keys) else keys
+
+
 def word_key(word: bytes) -> int:
     h = xxhash.xxh64_intdigest(word, 42)
     return h - (1 << 64) if h >> 63 else h
@@ -211,7 +216,7 @@ def _asked(order: int):
                     strings.append(g)
                     held += len(g)
                 if held > 4 * PIECE:
-                    strings, held = [np.unique(np.concatenate(strings))], 0
+                    strings, held = [distinct(np.concatenate(strings))], 0
                 for some in word_lists(text or b""):
                     words.update(some)
         yield from keys(now, strings, words)
@@ -219,12 +224,12 @@ def _asked(order: int):
     def keys(chunk: int | None, strings: list[np.ndarray], words: set[bytes]) -> Iterator[pa.RecordBatch]:
         if chunk is None:
             return
-        level = np.unique(np.concatenate(strings))
+        level = distinct(np.concatenate(strings))
         for size in range(order + 1, -1, -1):
             yield rows(chunk, 1 + size, level)
             if size:
-                level = np.unique(np.concatenate([level & _mask(size - 1), level >> np.uint64(BITS)]))
-        yield rows(chunk, WORD, np.unique(np.array([word_key(w) for w in words], np.int64)))
+                level = distinct(np.concatenate([level & _mask(size - 1), level >> np.uint64(BITS)]))
+        yield rows(chunk, WORD, distinct(np.fromiter(map(word_key, words), np.int64, len(words))))
 
     def rows(chunk: int, kind: int, keys: np.ndarray) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), chunk, np.int64)), pa.array(np.full(len(keys), kind, np.int32)),
@@ -233,39 +238,46 @@ def _asked(order: int):
     return run
 
 
+class WordCosts(dict):
+    """Word -> log10(count + 1), looked up by the word's key when first met."""
+
+    def __init__(self, keys: np.ndarray, counts: np.ndarray):
+        super().__init__()
+        self.by_key = dict(zip(keys.tolist(), np.log10(counts + 1).tolist()))
+
+    def __missing__(self, word: bytes) -> float:
+        cost = self[word] = self.by_key.get(word_key(word), 0.0)
+        return cost
+
+
 def _score(order: int, log_base: float, end_count: int):
     """(documents of a chunk, its answers) -> scores."""
     def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
         kind = answers.column("kind").to_numpy()
         key = answers.column("key").to_numpy()
         values = np.stack([answers.column(c).fill_null(0).to_numpy().astype(float) for c in ("c", "t", "d", "rest_t", "rest_d")], axis=1)
-        counts = dict(zip(key[kind == WORD].tolist(), values[kind == WORD, 0].tolist()))
+        word = WordCosts(key[kind == WORD], values[kind == WORD, 0]).__getitem__
         trie = Trie(kind, key.view(np.uint64), values, order)
-        texts = [t or b"" for t in docs.column("text").to_pylist()]
-        strings, held = np.zeros(0, np.uint64), 0
-        some: list[np.ndarray] = []
-        for t in texts:
-            for g in string_pieces(t, order):
-                some.append(g)
-                held += len(g)
-            if held > 4 * PIECE:
-                strings, some, held = np.unique(np.concatenate([strings, *some])), [], 0
-        strings = np.unique(np.concatenate([strings, *some]))
-        table, cost = KeyTable(strings), trie.log10(strings)
-        known: dict[bytes, float] = {}
+        # the longest strings that training has seen have one cost; any other is worked out where it stands
+        seen = trie.keys[order + 1]
+        table, cost = KeyTable(seen), np.append(trie.log10(seen), 0.0)
+
+        def total(g: np.ndarray) -> float:
+            at = table.find(g)  # -1, so the last cost, for a string never seen
+            new = g[at < 0]
+            return float(cost[at].sum() + (trie.log10(new).sum() if len(new) else 0.0))
+
         out = {"n_tokens": [], "n_known": [], "base_score": [], "score": []}
-        for t in texts:
+        for t in docs.column("text").to_pylist():
+            t = t or b""
             n, hits, base = 1, int(end_count > 0), np.log10(end_count + 1)
             for words in word_lists(t):
-                for w in set(words):
-                    if w not in known:
-                        known[w] = log10(counts.get(word_key(w), 0.0) + 1)
-                c = np.fromiter(map(known.__getitem__, words), float, len(words))
+                c = np.fromiter(map(word, words), float, len(words))
                 n, hits, base = n + len(words), hits + int(np.count_nonzero(c)), base + c.sum()
             out["n_tokens"].append(n)
             out["n_known"].append(hits)
             out["base_score"].append(base - n * log_base)
-            out["score"].append(float(sum(cost[table.find(g)].sum() for g in string_pieces(t, order))))
+            out["score"].append(sum(map(total, string_pieces(t, order))))
         return pa.table({"doc_id": docs.column("doc_id").cast(pa.int64()), "held_out": docs.column("held_out"),
                          "n_tokens": pa.array(out["n_tokens"], pa.int64()), "n_known": pa.array(out["n_known"], pa.int64()),
                          "base_score": pa.array(out["base_score"], pa.float64()), "score": pa.array(out["score"], pa.float64())})
