@@ -3,6 +3,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import docs_frame, prose
 
@@ -107,3 +108,27 @@ def test_nulls_repeats_and_no_rows(spark):
     empty = hashlib.sha256(b"").hexdigest()
     assert sorted((r.n_removed, r.n_spans, r.kept_sha256) for r in out) == [(0, 0, empty)] + [(len(t.encode()), 1, empty)] * 3
     assert S.removed_bytes(df.where("false"), 400).collect() == []
+
+
+def test_samples_are_as_sparse_as_equal_strings_allow():
+    """A sample every 60 bytes or so: every one more costs a row in each step of the sort."""
+    text = prose(random.Random(8), 20000).encode()
+    at, _ = S.samples(text, 400)
+    assert len(at) < len(text) / 58 and np.diff(at).max() <= S.grid(400)[1]
+
+
+def test_a_union_counts_its_places_once():
+    """Blocks cut off at both ends of a text of few starts are one place, not copies of each other."""
+    text = prose(random.Random(9), 200).encode()[:402]
+    batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array([text]), pa.array([[9, 5, 7]], pa.list_(pa.int32()))], ["tid", "text", "asked"])
+    out = pa.Table.from_batches(S._blocks(400, 16, 16)([batch])).to_pylist()
+    assert [(r["last"], r["low"], r["high"], r["new"]) for r in out] == [(5, 0, 2, 1), (7, 0, 2, 0), (9, 0, 2, 0)]
+    assert len({(r["h1"], r["h2"]) for r in out}) == 1
+
+
+def test_words_do_not_count_but_bytes(spark):
+    """A passage of over 50 words under 400 bytes stays; one of 400 bytes goes."""
+    rng = random.Random(10)
+    under, at = " ".join("".join(rng.choices("abcdefghij", k=6)) for _ in range(57)), "".join(rng.choices("abcdefghij", k=400))
+    want = check(spark, [f"A{under}B", f"C{under}D", f"E{at}F", f"G{at}H"], 400)
+    assert len(under.split()) > 50 and [w[1] for w in want] == [0, 0, 400, 400]
